@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import langid, languages
+from palimpsest.llm import langid, languages, truncation
 from palimpsest.session import table
 
 
@@ -38,8 +38,31 @@ def p5_languages(spark: SparkSession, folder: str) -> DataFrame:
     return languages.languages(every, language_model(spark, folder), "text", "lang", ["item_table", "item_id"])
 
 
+def rewritten_values(spark: SparkSession, folder: str) -> DataFrame:
+    """rewritten_text of block_audit and node_results with its counterpart, source, item table and id."""
+    kept = ["original_text", "rewritten_text", "source_system"]
+    blocks = table(spark, folder, "block_audit").select(
+        F.lit("block_audit").alias("item_table"), _key("article_id", "block_id").alias("item_id"), *kept
+    )
+    nodes = table(spark, folder, "node_results").select(
+        F.lit("node_results").alias("item_table"), _key("article_id", "node_id").alias("item_id"), *kept
+    )
+    return blocks.unionByName(nodes)
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    values = rewritten_values(spark, folder)
+    copies = [(values, "original_text"), (values, "rewritten_text")]
+    return truncation.cut_values(values, copies, ["item_table", "item_id"], "rewritten_text", "original_text")
+
+
+def p6_source_share(spark: SparkSession, folder: str) -> DataFrame:
+    values = rewritten_values(spark, folder)
+    return truncation.shares(values, p6_found(spark, folder), ["item_table", "item_id"], "rewritten_text", "source_system")
+
+
 def queries() -> dict:
-    return {"p5_found": p5_found, "p5_languages": p5_languages}
+    return {"p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
 
 
 def oracle_sql() -> dict[str, str]:
