@@ -5,7 +5,8 @@ whole text, or its last piece of a sentence, must be a strict prefix of a longer
 the texts of the tables, or of the other side of its own row. Values are compared with numbers and
 capitalised names masked, so that a sentence on another product or amount counts as a copy. The
 lookup is an equi-join on (length class, hash of the fixed-length prefix) after distinct pieces
-were taken, followed by the exact prefix test; a hot prefix holds distinct pieces only.
+were taken, followed by the exact prefix test; a hot prefix holds distinct pieces only. Pieces are
+sentences and their clauses, since a sentence may be strung together from known parts.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Lengths of the prefixes that are hashed; a piece is looked up by the longest that fits into it.
-CLASSES = (4, 8, 16, 32, 64)
+CLASSES = (1, 2, 3, 4, 8, 16, 32, 64)
+#: Up to this length a piece is itself the prefix looked up, so distinct prefixes are enough.
+EXACT = 3
 
 # What closes a sentence, what may stand behind it, what only wraps a text.
 CLOSING = ".!?…。！？"
@@ -27,6 +30,7 @@ _NUMBER = re.compile(r"\d(?:[\d.,]*\d)?")
 _NAME = re.compile(r"(?<=[^\W\d_][ ,\-])[A-ZÀ-ÖØ-Þ][^\W\d_]*")
 _SPACE = re.compile(r"\s+")
 _ENDS = re.compile(r"(?<=[.!?…。！？])[\"'”’»)]*\s+|(?<=[。！？])|\n+")
+_CLAUSES = re.compile(r"[,;:] (?:(?:and|und|en|et|y) )?(?:so |then )*|(?<=[^ ]) (?:and|und|en|et|y) (?:so |then )*")
 _LAST_NUMBER = re.compile(r"\d[\d.,]*[.,]$")
 
 
@@ -51,9 +55,17 @@ def sentences(text: str) -> list[str]:
     return [p for p in _ENDS.split(text) if p and p.strip()]
 
 
-def last_piece(text: str) -> str:
-    parts = sentences(text.rstrip(BEHIND))
-    return masked(parts[-1]) if parts else ""
+def pieces_of(sentence: str) -> list[str]:
+    """The masked sentence and its masked clauses."""
+    whole = masked(sentence.strip(BEHIND + "-—–/|•"))
+    return [p for p in dict.fromkeys([whole, *_CLAUSES.split(whole)]) if p]
+
+
+def last_pieces(text: str) -> list[str]:
+    """The sentence and the clause a text breaks off in."""
+    parts = sentences(text.rstrip(BEHIND + ",;:"))
+    found = pieces_of(parts[-1]) if parts else []
+    return [found[0], found[-1]] if len(found) > 1 else found
 
 
 def number_goes_on(text: str, other: str | None) -> bool:
@@ -67,21 +79,21 @@ def number_goes_on(text: str, other: str | None) -> bool:
 
 
 def _pieces(df: DataFrame, text: str) -> DataFrame:
-    """Distinct masked sentences of the texts."""
+    """Distinct masked sentences and clauses of the texts."""
 
     def run(batches):
         for batch in batches:
             out: set[str] = set()
             for t in batch.column(0).to_pylist():
-                out.update(masked(p.rstrip(BEHIND)) for p in sentences(t))
-            out.discard("")
+                for p in sentences(t):
+                    out.update(pieces_of(p))
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string())], ["piece"])
 
     return df.where(F.col(text).isNotNull()).select(F.col(text)).mapInArrow(run, "piece string").distinct()
 
 
 def _classed(piece: Column) -> Column:
-    """The longest prefix class that a piece has at least one more character than."""
+    """The longest prefix class that fits into a piece."""
     out = F.lit(0)
     for size in CLASSES:
         out = F.when(F.length(piece) >= size, F.lit(size)).otherwise(out)
@@ -116,40 +128,42 @@ def cut_values(values: DataFrame, copies: list[tuple[DataFrame, str]], keys: lis
             for i, t in enumerate(rows[name]):
                 if rows["__open__"][i]:
                     keep.append(i)
-                    last.append(last_piece(t))
+                    last.append(last_pieces(t))
                     sure.append(rows["__own__"][i])
                 elif number_goes_on(t, rows[beside][i]):
                     keep.append(i)
-                    last.append("")
+                    last.append([])
                     sure.append(True)
             part = batch.take(pa.array(keep, pa.int64()))
             columns = [part.column(part.schema.get_field_index(k)) for k in keys]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sure, pa.bool_()), pa.array(last, pa.string())], [*keys, "__own__", "__last__"]
+                [*columns, pa.array(sure, pa.bool_()), pa.array(last, pa.list_(pa.string()))], [*keys, "__own__", "__last__"]
             )
 
     kinds = dict(open_values.dtypes)
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, "__own__"]) + ", `__last__` string"
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, "__own__"]) + ", `__last__` array<string>"
     lasts = open_values.mapInArrow(run, schema)
     pieces = None
     for df, column in copies:
         each = df.select(F.col(column).alias("t"))
         pieces = each if pieces is None else pieces.unionByName(each)
     pieces = _pieces(pieces, "t")
-    prefixes = pieces.select("piece", F.explode(F.array(*(F.lit(s) for s in CLASSES))).alias("__size__")).where(
-        F.length("piece") > F.col("__size__")
-    )
-    prefixes = prefixes.select("piece", "__size__", F.xxhash64(F.expr("substring(piece, 1, __size__)")).alias("__hash__"))
-    size = _classed(F.col("__last__"))
-    asked = lasts.select(*keys, "__own__", "__last__", size.alias("__size__")).withColumn(
-        "__hash__", F.xxhash64(F.expr("substring(__last__, 1, __size__)"))
+    size = F.explode(F.array(*(F.lit(c) for c in CLASSES)))
+    prefixes = pieces.select("piece", size.alias("__size__")).where(F.length("piece") > F.col("__size__"))
+    head = F.expr("substring(piece, 1, __size__)")
+    prefixes = prefixes.select(
+        "__size__", F.xxhash64(head).alias("__hash__"), F.when(F.col("__size__") <= EXACT, head).otherwise(F.col("piece")).alias("piece")
+    ).distinct()
+    asked = lasts.select(*keys, F.explode("__last__").alias("__piece__"))
+    asked = asked.withColumn("__size__", _classed(F.col("__piece__"))).withColumn(
+        "__hash__", F.xxhash64(F.expr("substring(__piece__, 1, __size__)"))
     )
     found = asked.join(
         prefixes,
         (asked["__size__"] == prefixes["__size__"])
         & (asked["__hash__"] == prefixes["__hash__"])
-        & prefixes["piece"].startswith(asked["__last__"])
-        & (F.length(prefixes["piece"]) > F.length(asked["__last__"])),
+        & prefixes["piece"].startswith(asked["__piece__"])
+        & ((F.length(prefixes["piece"]) > F.length(asked["__piece__"])) | (asked["__size__"] <= EXACT)),
         "left_semi",
     ).select(*keys)
     return found.unionByName(lasts.where("__own__").select(*keys)).distinct()
