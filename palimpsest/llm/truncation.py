@@ -45,6 +45,11 @@ def breaks_off(text: Column) -> Column:
     return (bare != "") & ~F.substring(bare, -1, 1).isin(*CLOSING)
 
 
+def has_word(text: Column) -> Column:
+    """Whether a letter or digit is left without tags, character entities and fences."""
+    return F.regexp_replace(text, r"<[^>]*>|&#?\w+;|```\w*", "").rlike(r"[\p{L}\p{N}]")
+
+
 def masked(piece: str) -> str:
     """Numbers and capitalised names inside a piece as one sign each, white space as one blank, lower case."""
     piece = _NUMBER.sub("#", _SPACE.sub(" ", piece).strip())
@@ -108,7 +113,7 @@ def cut_values(values: DataFrame, copies: list[tuple[DataFrame, str]], keys: lis
     sought. A text that ends without a mark is a case if its counterpart ends with one, or is a
     strictly longer copy of it, and the piece it breaks off in goes on in a longer copy. A text
     that seems to end well but whose last number goes on in its counterpart is a case as well.
-    Null and empty texts are none; rows with equal keys give one row; ties cannot arise.
+    Null texts and texts without a word are none; rows with equal keys give one row; ties cannot arise.
     """
     ends = breaks_off(F.col(text))
     bare, own = F.rtrim(F.col(text)), F.rtrim(F.col(other))
@@ -117,7 +122,7 @@ def cut_values(values: DataFrame, copies: list[tuple[DataFrame, str]], keys: lis
     open_end = F.coalesce(ends & ~by_nature, F.lit(False))
     at_number = F.col(text).rlike(r"\d[.,]\s*$")
     name, beside = "__text__", "__other__"
-    open_values = values.where(open_end | at_number).select(
+    open_values = values.where(has_word(F.col(text)) & (open_end | at_number)).select(
         *keys, F.col(text).alias(name), F.col(other).alias(beside), open_end.alias("__open__"), F.coalesce(longer, F.lit(False)).alias("__own__")
     )
 
