@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import langid, languages, truncation
+from palimpsest.llm import langid, languages, pairs, truncation
 from palimpsest.session import table
 
 
@@ -61,8 +61,24 @@ def p6_source_share(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.shares(values, p6_found(spark, folder), ["item_table", "item_id"], "rewritten_text", "source_system")
 
 
+REWRITTEN = ("rewritten_pass1", "rewritten_pass1_pass2")
+
+
+def rewritten_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "block_audit").where(F.col("status").isin(*REWRITTEN))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    every = rewritten_pairs(spark, folder).select("article_id", "block_id", "original_text", "rewritten_text")
+    return pairs.defects(every, language_model(spark, folder), ["article_id", "block_id"], "original_text", "rewritten_text")
+
+
+def p1_defect_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return p1_found(spark, folder).groupBy("defect").agg(F.count("*").alias("pairs"), F.countDistinct("article_id").alias("articles"))
+
+
 def queries() -> dict:
-    return {"p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
+    return {"p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
 
 
 def oracle_sql() -> dict[str, str]:
