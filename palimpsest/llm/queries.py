@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import langid, languages, pairs, truncation
+from palimpsest.llm import langid, languages, lookalike, pairs, truncation
 from palimpsest.session import table
 
 
@@ -77,8 +77,17 @@ def p1_defect_counts(spark: SparkSession, folder: str) -> DataFrame:
     return p1_found(spark, folder).groupBy("defect").agg(F.count("*").alias("pairs"), F.countDistinct("article_id").alias("articles"))
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.lookalike_pairs(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+def p9_forms(spark: SparkSession, folder: str) -> DataFrame:
+    forms = lookalike.with_form(table(spark, folder, "documents"), "text", ["doc_id"])
+    return forms.select("doc_id", F.length("form").alias("n_chars"), F.sha2("form", 256).alias("form_sha256"))
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
+    return {"p9_found": p9_found, "p9_forms": p9_forms, "p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
 
 
 def oracle_sql() -> dict[str, str]:
