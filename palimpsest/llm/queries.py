@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import langid, languages, lookalike, pairs, truncation
+from palimpsest.llm import langid, languages, leakage, lookalike, pairs, truncation
 from palimpsest.session import table
 
 
@@ -86,8 +86,22 @@ def p9_forms(spark: SparkSession, folder: str) -> DataFrame:
     return forms.select("doc_id", F.length("form").alias("n_chars"), F.sha2("form", 256).alias("form_sha256"))
 
 
+def leaked(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return leakage.leaks(documents, table(spark, folder, "eval_items"), "doc_id", "item_id")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaked(spark, folder).select("doc_id", "item_id")
+
+
+def p8_item_report(spark: SparkSession, folder: str) -> DataFrame:
+    """For each leaked item the documents that hold it and the most words in a row."""
+    return leaked(spark, folder).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("most_words"))
+
+
 def queries() -> dict:
-    return {"p9_found": p9_found, "p9_forms": p9_forms, "p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
+    return {"p8_found": p8_found, "p8_item_report": p8_item_report, "p9_found": p9_found, "p9_forms": p9_forms, "p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
 
 
 def oracle_sql() -> dict[str, str]:
