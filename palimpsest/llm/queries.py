@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import langid, languages, leakage, lookalike, pairs, truncation
+from palimpsest.llm import encoding, langid, languages, leakage, lookalike, pairs, truncation
 from palimpsest.session import table
 
 
@@ -100,8 +100,12 @@ def p8_item_report(spark: SparkSession, folder: str) -> DataFrame:
     return leaked(spark, folder).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("most_words"))
 
 
+def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.token_ids(table(spark, folder, "documents"), "doc_id", "text")
+
+
 def queries() -> dict:
-    return {"p8_found": p8_found, "p8_item_report": p8_item_report, "p9_found": p9_found, "p9_forms": p9_forms, "p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
+    return {"p7_ids": p7_ids, "p8_found": p8_found, "p8_item_report": p8_item_report, "p9_found": p9_found, "p9_forms": p9_forms, "p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
 
 
 def oracle_sql() -> dict[str, str]:
