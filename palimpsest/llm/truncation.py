@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.session import cut
+
 #: Lengths of the prefixes that are hashed; a piece is looked up by the longest that fits into it.
 CLASSES = (1, 2, 3, 4, 8, 16, 32, 64)
 #: Up to this length a piece is itself the prefix looked up, so distinct prefixes are enough.
@@ -36,13 +38,13 @@ _LAST_NUMBER = re.compile(r"\d[\d.,]*[.,]$")
 
 def bare_end(text: Column) -> Column:
     """The text without what may stand behind its last mark."""
-    return F.regexp_replace(text, r"[\s\"'”’»)\]}` ​‌‍⁠﻿]+$", "")
+    return F.rtrim(text, F.lit(BEHIND))
 
 
 def breaks_off(text: Column) -> Column:
     """Whether the text ends without a closing mark; null for null, false where nothing is left."""
     bare = bare_end(text)
-    return (bare != "") & ~F.substring(bare, -1, 1).isin(*CLOSING)
+    return (bare != "") & ~F.right(bare, F.lit(1)).isin(*CLOSING)
 
 
 def has_word(text: Column) -> Column:
@@ -120,9 +122,9 @@ def cut_values(values: DataFrame, copies: list[tuple[DataFrame, str]], keys: lis
     longer = own.startswith(bare) & (F.length(own) > F.length(bare))
     by_nature = F.coalesce(breaks_off(F.col(other)) & ~longer, F.lit(False))
     open_end = F.coalesce(ends & ~by_nature, F.lit(False))
-    at_number = F.col(text).rlike(r"\d[.,]\s*$")
+    at_number = F.right(F.rtrim(F.col(text), F.lit(" \t\r\n")), F.lit(2)).rlike(r"^\d[.,]$")
     name, beside = "__text__", "__other__"
-    open_values = values.where(has_word(F.col(text)) & (open_end | at_number)).select(
+    open_values = values.where((open_end | at_number) & has_word(F.col(text))).select(
         *keys, F.col(text).alias(name), F.col(other).alias(beside), open_end.alias("__open__"), F.coalesce(longer, F.lit(False)).alias("__own__")
     )
 
@@ -147,7 +149,7 @@ def cut_values(values: DataFrame, copies: list[tuple[DataFrame, str]], keys: lis
 
     kinds = dict(open_values.dtypes)
     schema = ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, "__own__"]) + ", `__last__` array<string>"
-    lasts = open_values.mapInArrow(run, schema)
+    lasts = cut(open_values.mapInArrow(run, schema))
     pieces = None
     for df, column in copies:
         each = df.select(F.col(column).alias("t"))
