@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import encoding, langid, languages, leakage, lookalike, pairs, truncation
+from palimpsest.llm import encoding, langid, languages, leakage, lookalike, markup, pairs, splitting, truncation
 from palimpsest.session import table
 
 
@@ -104,9 +104,56 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.token_ids(table(spark, folder, "documents"), "doc_id", "text")
 
 
+RESULT_KEY = ["article_id", "prompt_version"]
+HTML_FIELDS = ["original_html", "enriched_html"]
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.residues(table(spark, folder, "enriched_articles"), HTML_FIELDS, RESULT_KEY)
+
+
+def p3_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean text of both fields, one row for each field of a row, with its kinds of residue."""
+    results = table(spark, folder, "enriched_articles").select(*RESULT_KEY, *HTML_FIELDS)
+    each = [
+        markup.with_clean_text(results.select(*RESULT_KEY, F.col(f).alias("html"), F.lit(f).alias("field")), "html", ["field", *RESULT_KEY])
+        for f in HTML_FIELDS
+    ]
+    return each[0].unionByName(each[1])
+
+
+HTML_LIMIT, TEXT_LIMIT, OVERLAP = 12_000, 3_500, 200
+
+
+def p4_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all values above their limits."""
+    results = table(spark, folder, "enriched_articles").select(
+        F.lit("enriched_articles").alias("item_table"), _key(*RESULT_KEY).alias("item_id"), "original_html"
+    )
+    blocks = table(spark, folder, "block_audit").select(
+        F.lit("block_audit").alias("item_table"), _key("article_id", "block_id").alias("item_id"), "original_text"
+    )
+    keys = ["item_table", "item_id"]
+    return splitting.split_items(results, "original_html", keys, HTML_LIMIT, OVERLAP, html=True).unionByName(
+        splitting.split_items(blocks, "original_text", keys, TEXT_LIMIT, OVERLAP)
+    )
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Items that were cut into more than one piece."""
+    return p4_pieces(spark, folder).where("piece = 1").select("item_table", "item_id").distinct()
+
+
 def queries() -> dict:
-    return {"p7_ids": p7_ids, "p8_found": p8_found, "p8_item_report": p8_item_report, "p9_found": p9_found, "p9_forms": p9_forms, "p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
+    return {"p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_pieces": p4_pieces, "p7_ids": p7_ids, "p8_found": p8_found, "p8_item_report": p8_item_report, "p9_found": p9_found, "p9_forms": p9_forms, "p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p4_found": f"""
+            SELECT DISTINCT 'enriched_articles' AS item_table, article_id || '|' || prompt_version AS item_id
+            FROM enriched_articles WHERE length(original_html) > {HTML_LIMIT}
+            UNION
+            SELECT DISTINCT 'block_audit', article_id || '|' || block_id FROM block_audit WHERE length(original_text) > {TEXT_LIMIT}
+        """,
+    }
