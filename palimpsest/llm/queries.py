@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import encoding, langid, languages, leakage, lookalike, markup, pairs, splitting, truncation
+from palimpsest.llm import encoding, langid, languages, leakage, lookalike, markup, pairs, readability, splitting, truncation
 from palimpsest.session import table
 
 
@@ -144,8 +144,29 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_pieces(spark, folder).where("piece = 1").select("item_table", "item_id").distinct()
 
 
+def article_sides(spark: SparkSession, folder: str) -> DataFrame:
+    """article_id, side and text of the blocks, each key once; the side rewritten has rewritten pairs only."""
+    each = table(spark, folder, "block_audit").dropDuplicates(["article_id", "block_id"])
+    sides = F.array(
+        F.struct(F.lit("original").alias("side"), F.col("original_text").alias("text")),
+        F.struct(F.lit("rewritten").alias("side"), F.when(F.col("status").isin(*REWRITTEN), F.col("rewritten_text")).alias("text")),
+    )
+    return each.select("article_id", F.explode(sides).alias("s")).select("article_id", "s.side", "s.text")
+
+
+def p2_levels(spark: SparkSession, folder: str) -> DataFrame:
+    return readability.levels(
+        article_sides(spark, folder), table(spark, folder, "level_labels"), language_model(spark, folder),
+        ["article_id", "side"], "text", "reading_level", ["article_id"],
+    )
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p2_levels(spark, folder).where("reading_level = 'advanced'").select("article_id", "side")
+
+
 def queries() -> dict:
-    return {"p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_pieces": p4_pieces, "p7_ids": p7_ids, "p8_found": p8_found, "p8_item_report": p8_item_report, "p9_found": p9_found, "p9_forms": p9_forms, "p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
+    return {"p2_found": p2_found, "p2_levels": p2_levels, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_pieces": p4_pieces, "p7_ids": p7_ids, "p8_found": p8_found, "p8_item_report": p8_item_report, "p9_found": p9_found, "p9_forms": p9_forms, "p1_found": p1_found, "p1_defect_counts": p1_defect_counts, "p6_found": p6_found, "p6_source_share": p6_source_share, "p5_found": p5_found, "p5_languages": p5_languages}
 
 
 def oracle_sql() -> dict[str, str]:
