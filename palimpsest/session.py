@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +54,11 @@ def cut(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows written as a table to the shared folder and read from there: lineage cut, columns prunable."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
