@@ -27,7 +27,7 @@ Q = 8
 EDITS = 2
 MIN_WORDS = 10
 BLOCK_CHARS = 2_000_000
-CHUNK_CHARS = 300_000
+CHUNK_CHARS = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLOOM_BITS = 22
 
@@ -130,33 +130,45 @@ def regions(index: Index, bloom: np.ndarray, texts: list[str], edits: int) -> li
         size = np.diff(np.r_[edge, len(order)])
         good = edge[size >= index.bound[i[edge]]]
         found += [(int(t[g]), int(i[g]), int(b[g]) * width - shift + width // 2 - (1 << 16)) for g in good]
-    return sorted(set(found))
+    out: list[tuple[int, int, int]] = []
+    for t, i, d in sorted(set(found)):
+        if not out or out[-1][:2] != (t, i) or d - out[-1][2] > edits + 1:
+            out.append((t, i, d))
+    return out
+
+
+#: Regions aligned at once.
+ALIGNED = 2048
 
 
-def aligned(item: str, text: str, diagonal: int, edits: int) -> tuple[int, int, int]:
-    """Best local alignment in the band around a diagonal: its score, where it starts at the earliest and where it
-    ends in the text. A letter kept counts 1, an edit -2."""
+def aligned(items: list[str], texts: list[str], diagonals: list[int], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best local alignments in the bands around the diagonals: their scores, where they start at the earliest and
+    where they end in their texts. A letter kept counts 1, an edit -2. All are worked out side by side."""
     half = 3 * (edits + 1)
-    lo = diagonal - half
-    a = np.frombuffer(item.encode("utf-32-le", "surrogatepass"), np.uint32)
-    padded = np.zeros(len(a) + 2 * half + 1, np.uint32)
-    t = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    src, dst = max(lo, 0), max(-lo, 0)
-    part = t[src : max(src, lo + len(padded))]
-    padded[dst : dst + len(part)] = part[: max(0, len(padded) - dst)]
     width = 2 * half + 1
-    ramp = 2 * np.arange(width)
-    row = np.zeros(width, np.int64)
-    best, end = 0, 0
-    for i in range(len(a)):
-        same = padded[i : i + width] == a[i]
-        new = np.maximum(row + np.where(same, 1, -2), 0)
-        new[:-1] = np.maximum(new[:-1], row[1:] - 2)
-        row = np.maximum(np.maximum.accumulate(new + ramp) - ramp, 0)
-        top = int(row.max())
-        if top > best:
-            best, end = top, lo + i + int(row.argmax()) + 1
-    return best, max(0, lo), end
+    lens = np.array(list(map(len, items)))
+    lo = np.array(diagonals) - half
+    a = np.zeros((len(items), lens.max()), np.uint32)
+    padded = np.full((len(items), lens.max() + width), 0xFFFFFFFF, np.uint32)
+    for r, (item, text) in enumerate(zip(items, texts)):
+        a[r, : lens[r]] = np.frombuffer(item.encode("utf-32-le", "surrogatepass"), np.uint32)
+        src, dst = max(int(lo[r]), 0), max(-int(lo[r]), 0)
+        part = text[src : src + lens[r] + width - dst]
+        padded[r, dst : dst + len(part)] = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+    ramp = 2 * np.arange(width, dtype=np.int32)
+    row = np.zeros((len(items), width), np.int32)
+    best, end = np.zeros(len(items), np.int32), np.zeros(len(items), np.int64)
+    for i in range(a.shape[1]):
+        new = row + np.where(padded[:, i : i + width] == a[:, i, None], 1, -2).astype(np.int32)
+        new[:, :-1] = np.maximum(new[:, :-1], row[:, 1:] - 2)
+        np.maximum(new, 0, out=new)
+        row = np.maximum.accumulate(new + ramp, axis=1) - ramp
+        at = row.argmax(1)
+        top = row[np.arange(len(row)), at]
+        better = (top > best) & (i < lens)
+        best[better] = top[better]
+        end[better] = (lo + i + at + 1)[better]
+    return best, np.maximum(lo, 0), end
 
 
 def longest_run(words: list[str], text: str, least: int) -> int:
@@ -184,13 +196,15 @@ def search(index: Index, texts: list[str | None], min_words: int = MIN_WORDS, ed
             end += 1
         flat = squeezed(texts[at:end])
         done: dict[tuple[int, int], tuple[int, int]] = {}
-        for t, i, diagonal in regions(index, bloom, flat, edits):
-            score, first, last = aligned(index.text[i], flat[t], diagonal, edits)
-            part = flat[t][first:last]
-            run = longest_run(index.words[i], part, min_words)
-            if run:
-                known = done.get((t, i), (0, 0))
-                done[t, i] = (max(known[0], run), max(known[1], score))
+        kept = regions(index, bloom, flat, edits)
+        for n in range(0, len(kept), ALIGNED):
+            some = kept[n : n + ALIGNED]
+            found = aligned([index.text[i] for _, i, _ in some], [flat[t] for t, _, _ in some], [d for *_, d in some], edits)
+            for (t, i, _), score, first, last in zip(some, *(x.tolist() for x in found)):
+                run = longest_run(index.words[i], flat[t][first:last], min_words)
+                if run:
+                    known = done.get((t, i), (0, 0))
+                    done[t, i] = (max(known[0], run), max(known[1], score))
         for (t, i), (run, score) in done.items():
             out[at + t].append((i, run, score))
         at = end
