@@ -104,21 +104,27 @@ def vocabulary(words: DataFrame, labels: DataFrame, doc: list[str], level: str,
 
 
 def coverage(words: DataFrame, ranked: DataFrame, doc: list[str]) -> DataFrame:
-    """For each document the ranks at which COVERED of its tokens are covered, as shares of the vocabulary."""
+    """For each document the ranks at which COVERED of its tokens are covered, as shares of the vocabulary.
+
+    A document's list holds its words in the vocabulary, so at most the vocabulary's bound; those
+    outside only add to its size.
+    """
     size = ranked.agg(F.count("*").alias("size"))
-    joined = words.join(F.broadcast(ranked), "word", "left").crossJoin(F.broadcast(size))  # ranked has a bound, size one row
-    out = None
-    for name in ("plain", "basic"):
-        rank = F.coalesce(F.col(f"{name}_rank"), F.col("size") + 1)
-        by_rank = joined.groupBy(*doc, rank.alias("rank"), "size").agg(F.sum("n").alias("n"))
-        whole = Window.partitionBy(*doc)
-        upto = whole.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-        summed = by_rank.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(whole))
-        got = summed.where(F.col("upto") >= COVERED * F.col("all")).groupBy(*doc).agg(
-            (F.min("rank") / (F.first("size") + 1)).alias(f"{name}_coverage")
+    joined = words.join(F.broadcast(ranked), "word", "left")  # ranked has a bound
+    seen = F.when(F.col("plain_rank").isNotNull(), F.struct("plain_rank", "basic_rank", "n"))
+    each = joined.groupBy(*doc).agg(F.collect_list(seen).alias("seen"), F.sum("n").alias("all"))
+    each = each.crossJoin(F.broadcast(size))  # one row
+
+    def reached(rank: str):
+        ordered = F.array_sort(F.transform("seen", lambda x: F.struct(x[rank].alias("rank"), x["n"].alias("n"))))
+        none = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(None).cast("int").alias("rank"))
+        step = lambda acc, x: F.struct(
+            (acc["upto"] + x["n"]).alias("upto"),
+            F.coalesce(acc["rank"], F.when(acc["upto"] + x["n"] >= COVERED * F.col("all"), x["rank"])).alias("rank"),
         )
-        out = got if out is None else out.join(got, doc)
-    return out
+        return F.coalesce(F.aggregate(ordered, none, step)["rank"], F.col("size") + 1) / (F.col("size") + 1)
+
+    return each.select(*doc, reached("plain_rank").alias("plain_coverage"), reached("basic_rank").alias("basic_coverage"))
 
 
 def threshold(labelled: DataFrame, score: str, positive, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
