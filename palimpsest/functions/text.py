@@ -130,7 +130,7 @@ def without_fence(text: Column) -> Column:
 
 def json_object(text: Column, schema: str) -> Column:
     """The text as JSON, or else the widest part in braces as JSON; null where neither is."""
-    whole = F.from_json(text, schema, {"mode": "FAILFAST"}) if False else F.from_json(text, schema)
+    whole = F.from_json(text, schema)
     inner = F.from_json(F.regexp_extract(text, r"(?s)\{.*\}", 0), schema)
     return F.when(F.trim(text).rlike(r"(?s)^\{.*\}$"), whole).otherwise(inner)
 
