@@ -175,6 +175,7 @@ def from_sentences(df: DataFrame, doc: str, text: str, kind: Column, keep: tuple
     value, unit, time and condition found by patterns."""
     each = df.select(*keep, F.col(doc), kind.alias("claim_type"), F.posexplode(X.sentences(F.col(text))).alias("ord", "source_text"))
     s = F.col("source_text")
+    each = each.where(s.rlike(r"[\p{L}\p{N}]"))
     got = lambda p, g=0: F.nullif(F.regexp_extract(s, p, g), F.lit(""))
     words = F.split(X.normal_value(F.regexp_replace(s, r"[^\p{L}\s]", " ")), " ")
     return each.select(

@@ -46,9 +46,10 @@ def with_rules(nodes: DataFrame, rules: DataFrame, category: str = "category", t
     wanted = wanted.withColumn("__t__", F.explode(F.array_distinct(F.array(F.coalesce(F.col(tag), F.lit("all")), F.lit("all")))))
     found = wanted.join(flat, ["__c__", "__t__"]).select(category, tag, "rule_id", "priority").distinct()
     listed = found.groupBy(category, tag).agg(F.array_sort(F.collect_list(F.struct("priority", "rule_id"))).alias("r"))
-    joined = pairs.join(listed, pairs[category].eqNullSafe(listed[category]) & pairs[tag].eqNullSafe(listed[tag]), "left")
+    listed = listed.select(F.col(category).alias("__c__"), F.col(tag).alias("__t__"), "r")
+    joined = pairs.join(listed, F.col(category).eqNullSafe(F.col("__c__")) & F.col(tag).eqNullSafe(F.col("__t__")), "left")
     none = F.array().cast("array<string>")
-    return joined.select(pairs[category], pairs[tag], F.coalesce(F.transform("r", lambda x: x["rule_id"]), none).alias("rule_ids"))
+    return joined.select(category, tag, F.coalesce(F.transform("r", lambda x: x["rule_id"]), none).alias("rule_ids"))
 
 
 def answered(parts: DataFrame, answers: DataFrame, key: Sequence[str], original: str, answer: str, order: str | None = None) -> DataFrame:

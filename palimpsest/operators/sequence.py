@@ -33,15 +33,17 @@ def positions(df: DataFrame, group: Sequence[str], order: Sequence[str], out: st
     starts = sizes.withColumn("__start__", F.coalesce(F.sum("__n__").over(before), F.lit(0))).drop("__n__")
     local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
     placed = ranged.withColumn("__local__", local)
-    joined = placed.join(starts, _same(placed, starts, keys), "inner").drop(*(starts[k] for k in keys))
+    joined = _joined(placed, starts, keys, "inner")
     return joined.withColumn(out, F.col("__start__") + F.col("__local__")).drop("__start__", "__local__", "__part__")
 
 
-def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    out = F.lit(True)
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """An equi-join in which null keys are equal; the left side's keys are kept."""
+    other = right.withColumnsRenamed({k: f"__right_{k}__" for k in keys})
+    on = F.lit(True)
     for k in keys:
-        out = out & a[k].eqNullSafe(b[k])
-    return out
+        on = on & F.col(k).eqNullSafe(F.col(f"__right_{k}__"))
+    return left.join(other, on, how).drop(*(f"__right_{k}__" for k in keys))
 
 
 def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, before: int = 1, behind: int = 1) -> DataFrame:
@@ -54,8 +56,7 @@ def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value:
     sent = placed.select(*group, F.col(value).alias("__v__"), "position", F.explode(F.array(*(F.lit(o) for o in offsets))).alias("__o__"))
     sent = sent.select(*group, (F.col("position") + F.col("__o__")).alias("position"), F.struct((-F.col("__o__")).alias("o"), F.col("__v__").alias("v")).alias("__s__"))
     got = sent.groupBy(*group, "position").agg(F.array_sort(F.collect_list("__s__")).alias("__all__"))  # at most before + behind
-    keys = [*group, "position"]
-    joined = placed.join(got, _same(placed, got, keys), "left").drop(*(got[k] for k in keys))
+    joined = _joined(placed, got, [*group, "position"], "left")
     every = F.coalesce(F.col("__all__"), F.array().cast(got.schema["__all__"].dataType))
     pick = lambda side: F.transform(F.filter(every, side), lambda s: s["v"])
     return joined.withColumns({"previous": pick(lambda s: s["o"] < 0), "next": pick(lambda s: s["o"] > 0)}).drop("__all__")
@@ -82,7 +83,7 @@ def carried(df: DataFrame, group: Sequence[str], order: Sequence[str], value: Co
     before = Window.partitionBy(*group).orderBy("__part__").rowsBetween(Window.unboundedPreceding, -1)
     handed = lasts.withColumn("__carry__", F.last("__last__", ignorenulls=True).over(before)).drop("__last__")
     here = ranged.withColumn("__here__", F.last("__v__", ignorenulls=True).over(inside))
-    joined = here.join(handed, _same(here, handed, keys), "inner").drop(*(handed[k] for k in keys))
+    joined = _joined(here, handed, keys, "inner")
     return joined.withColumn(out, F.coalesce("__here__", "__carry__")).drop("__v__", "__here__", "__carry__", "__part__")
 
 
