@@ -12,7 +12,12 @@ from palimpsest.functions import patterns as P
 
 def normal_space(c: Column) -> Column:
     """Runs of white space as one blank, none at the ends; empty for null."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
+
+
+def stripped(c: Column) -> Column:
+    """The text without white space at its ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def normal_value(c: Column) -> Column:
@@ -22,8 +27,7 @@ def normal_value(c: Column) -> Column:
 
 def none_if_empty(c: Column) -> Column:
     """The stripped text, null where nothing is left."""
-    bare = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
-    return F.nullif(bare, F.lit(""))
+    return F.nullif(stripped(c.cast("string")), F.lit(""))
 
 
 def optional_bool(c: Column) -> Column:
@@ -76,12 +80,12 @@ def matches_by_kind(text: Column, kinds: Sequence[tuple[str, str, bool]], allowe
 
 def sentences(text: Column) -> Column:
     """Split behind ., ! and ? and white space; stripped, none blank."""
-    return F.filter(F.transform(F.split(F.trim(text), P.SENTENCE_END), lambda s: F.trim(s)), lambda s: s != "")
+    return F.filter(F.split(stripped(text), "(?U)" + P.SENTENCE_END), lambda s: s != "")
 
 
 def paragraphs(text: Column) -> Column:
     """Lines, stripped, none blank."""
-    return F.filter(F.transform(F.split(text, r"\n+"), lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, r"\n+"), stripped), lambda s: s != "")
 
 
 def head(text: Column, most: int, mark: str = "") -> Column:
@@ -106,7 +110,7 @@ def estimated_tokens(text: Column) -> Column:
 
 def length_ratio(original: Column, rewritten: Column) -> Column:
     """Stripped lengths; null for a blank original."""
-    bare = lambda c: F.length(F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", ""))
+    bare = lambda c: F.length(stripped(F.coalesce(c, F.lit(""))))
     return F.when(bare(original) > 0, bare(rewritten) / F.greatest(bare(original), F.lit(1)))
 
 
@@ -139,7 +143,7 @@ def marked_paragraphs(text: Column) -> Column:
     """array<struct<index, text>> of a section with a [[Pn]] line before each paragraph."""
     indexes = F.regexp_extract_all(text, F.lit(rf"{P.PARAGRAPH_MARKER}\s*\n"), F.lit(1))
     parts = F.slice(F.split(text, r"\[\[P\d+\]\]\s*\n"), 2, 1_000_000)
-    return F.transform(F.arrays_zip(indexes.alias("i"), parts.alias("t")), lambda x: F.struct(x["i"].cast("int").alias("index"), F.trim(F.regexp_replace(x["t"], r"^\s+|\s+$", "")).alias("text")))
+    return F.transform(F.arrays_zip(indexes.alias("i"), parts.alias("t")), lambda x: F.struct(x["i"].cast("int").alias("index"), stripped(x["t"]).alias("text")))
 
 
 def without_tokens(text: Column) -> Column:

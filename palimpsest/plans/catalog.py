@@ -57,6 +57,9 @@ def _has(column: str, pattern: str, case: bool = True) -> str:
     return f"regexp_matches({column}, {_q(edge[0] * start + inner + edge[1] * stop, case)})"
 
 
+#: White space of Unicode, which RE2 has no class for.
+_S = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_STRIP = "regexp_replace({0}, '^" + _S.replace("{", "{{").replace("}", "}}") + "+|" + _S.replace("{", "{{").replace("}", "}}") + "+$', '', 'g')"
 _WIDE = r"\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}\x{300}-\x{52F}\x{FF10}-\x{FF19}\x{FF21}-\x{FF3A}\x{FF41}-\x{FF5A}\x{FB00}-\x{FB06}\x{AA}\x{B5}\x{BA}"
 
 
@@ -255,7 +258,7 @@ def numeric_integrity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     " UNION ALL ".join(
-        f"SELECT doc_id, '{t}' AS term, len(regexp_extract_all(text, '(?i)\\b{t.replace(' ', chr(92) + 's+')}\\b')) AS n FROM documents WHERE len(regexp_extract_all(text, '(?i)\\b{t.replace(' ', chr(92) + 's+')}\\b')) > 0"
+        f"SELECT doc_id, '{t}' AS term, len(regexp_extract_all(text, '(?i)\\b{t.replace(' ', _S + '+')}\\b')) AS n FROM documents WHERE len(regexp_extract_all(text, '(?i)\\b{t.replace(' ', _S + '+')}\\b')) > 0"
         for t in TERMS
     )
 )
@@ -269,8 +272,8 @@ _RATIO = "length(trim(coalesce(rewritten_text, ''))) / greatest(length(trim(orig
 @query(
     f"SELECT article_id, node_id, CASE WHEN length(trim(coalesce(original_text, ''))) > 0 THEN round({_RATIO}, 6) END AS ratio, "
     f"CASE WHEN length(trim(coalesce(original_text, ''))) > 0 THEN {_RATIO} BETWEEN 0.65 AND 1.35 ELSE true END AS is_safe "
-    "FROM (SELECT DISTINCT ON (article_id, node_id) article_id, node_id, regexp_replace(original_text, '^\\s+|\\s+$', '', 'g') AS original_text, "
-    "regexp_replace(rewritten_text, '^\\s+|\\s+$', '', 'g') AS rewritten_text FROM node_results)"
+    "FROM (SELECT DISTINCT ON (article_id, node_id) article_id, node_id, " + _STRIP.format("original_text") + " AS original_text, "
+    + _STRIP.format("rewritten_text") + " AS rewritten_text FROM node_results)"
 )
 def length_ratios(spark: SparkSession, folder: str) -> DataFrame:
     nodes = table(spark, folder, "node_results").dropDuplicates(["article_id", "node_id"])
@@ -424,7 +427,7 @@ def upsert_state(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- text ------------------------------------------------------------------------------------
 
-_WS = "trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))"
+_WS = f"trim(regexp_replace(coalesce(text, ''), '{_S}+', ' ', 'g'))"
 
 
 @query(f"SELECT min(doc_id) AS doc_id, sha256({_WS}) AS digest FROM documents GROUP BY {_WS}")
@@ -435,8 +438,8 @@ def distinct_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT doc_id, (CASE WHEN text IS NULL THEN NULL ELSE len(list_filter(list_transform(string_split(regexp_replace(trim(text), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')) END)::INT AS n_sentences, "
-    "(CASE WHEN text IS NULL THEN NULL ELSE len(list_filter(list_transform(string_split_regex(text, '\\n+'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '')) END)::INT AS n_paragraphs, "
+    f"SELECT doc_id, (CASE WHEN text IS NULL THEN NULL ELSE len(list_filter(string_split(regexp_replace({_STRIP.format('text')}, '([.!?]){_S}+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')) END)::INT AS n_sentences, "
+    f"(CASE WHEN text IS NULL THEN NULL ELSE len(list_filter(list_transform(string_split_regex(text, '\n+'), lambda x: {_STRIP.format('x')}), lambda x: x <> '')) END)::INT AS n_paragraphs, "
     "(floor(length(text) / 4) + 1)::BIGINT AS n_tokens FROM documents"
 )
 def text_units(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,7 +466,7 @@ def stored_digests(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("SELECT article_id, seg_id, trim(regexp_replace(regexp_replace(coalesce(original_text, ''), '⟦/?\\d+⟧', '', 'g'), '\\s+', ' ', 'g')) AS plain FROM " + _SEGMENTS)
+@query("SELECT article_id, seg_id, trim(regexp_replace(regexp_replace(coalesce(original_text, ''), '⟦/?\\d+⟧', '', 'g'), '" + _S + "+', ' ', 'g')) AS plain FROM " + _SEGMENTS)
 def plain_segments(spark: SparkSession, folder: str) -> DataFrame:
     return segments(spark, folder).select("article_id", "seg_id", X.without_tokens(F.coalesce("original_text", F.lit(""))).alias("plain"))
 
@@ -497,7 +500,7 @@ def block_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return near.select(*BLOCK_KEY, at("previous").alias("previous_text"), at("next").alias("next_text"))
 
 
-_PLAIN = "trim(regexp_replace(coalesce(original_text, ''), '\\s+', ' ', 'g'))"
+_PLAIN = f"trim(regexp_replace(coalesce(original_text, ''), '{_S}+', ' ', 'g'))"
 
 
 @query(
@@ -545,7 +548,7 @@ def packed_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return sequence.packed(rows, ["article_id"], ["block_id"], F.length("original_text"), 2000).select(*BLOCK_KEY, "chunk")
 
 
-_N = lambda c: f"trim(regexp_replace(coalesce({c}, ''), '\\s+', ' ', 'g'))"
+_N = lambda c: f"trim(regexp_replace(coalesce({c}, ''), '{_S}+', ' ', 'g'))"
 
 
 @query(
@@ -704,8 +707,9 @@ def _claims(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return tuple(claims.from_sentences(rows, "doc", c, F.col("tag")) for c in ("original_text", "rewritten_text"))
 
 
-_SPLIT = "unnest(list_filter(list_transform(string_split(regexp_replace(trim({0}), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')) AS s, generate_subscripts(list_filter(list_transform(string_split(regexp_replace(trim({0}), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''), 1) - 1 AS ord"
-_LOW = lambda c: f"lower(trim(regexp_replace({c}, '\\s+', ' ', 'g')))"
+_PARTS = f"list_filter(string_split(regexp_replace({_STRIP}, '([.!?]){_S.replace('{', '{{').replace('}', '}}')}+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"
+_SPLIT = f"unnest({_PARTS}) AS s, generate_subscripts({_PARTS}, 1) - 1 AS ord"
+_LOW = lambda c: f"lower(trim(regexp_replace({c}, '{_S}+', ' ', 'g')))"
 _CLAIM = (
     "SELECT doc, ord, s, coalesce(lower(nullif(regexp_extract(s, '(?i)\\b(must|should|may|can|cannot|will)\\b'), '')), '') AS modality, "
     "regexp_matches(s, '(?i)\\b(not|cannot|never|no longer)\\b') AS negated, {c} AS condition, {t} AS timing, regexp_matches(s, '(?i)\\b(approv|review)\\w*') AS approval, "
