@@ -90,11 +90,12 @@ def multiset_difference(before: DataFrame, after: DataFrame, key: Sequence[str],
 
 
 def kind_mismatches(original: Column, rewritten: Column, kinds: Sequence[tuple[str, str, bool]] = P.INVARIANTS) -> Column:
-    """Names of the kinds whose multisets of values differ between two texts, without a shuffle."""
+    """Names of the kinds whose multisets of values differ between two texts, without a shuffle; equal texts aren't searched."""
     a, b = X.matches_by_kind(original, kinds), X.matches_by_kind(rewritten, kinds)
     pairs = F.arrays_zip(a.alias("a"), b.alias("b"))
     differ = F.filter(pairs, lambda p: F.array_sort(p["a"]["values"]) != F.array_sort(p["b"]["values"]))
-    return F.transform(differ, lambda p: p["a"]["kind"])
+    none = F.array().cast("array<string>")
+    return F.when(original.eqNullSafe(rewritten), none).otherwise(F.transform(differ, lambda p: p["a"]["kind"]))
 
 
 def term_counts(df: DataFrame, key: Sequence[str], text: str, terms: Sequence[str], case: bool = False) -> DataFrame:

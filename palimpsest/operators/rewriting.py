@@ -140,8 +140,8 @@ def rewritten_nodes(nodes: DataFrame, rewriter: Rewriter, text: str = "text", co
     values and length; any failure keeps the original. Texts under three characters aren't sent."""
     short = predicates.is_short(F.col(text))
     ready = frozen(nodes, text).withColumn("frozen_text", F.when(~short, F.col("frozen_text")))
-    got = called(ready, "frozen_text", rewriter, context)
-    back = restored(F.col("answer"), F.col("tokens"))
+    got = called(ready, "frozen_text", rewriter, context).withColumn("__back__", restored(F.col("answer"), F.col("tokens")))
+    back = F.col("__back__")
     none = F.array().cast("array<string>")
     failed = F.concat(token_failures(F.col("answer"), F.col("tokens")), signal_failures(F.col(text), back), length_failures(F.col(text), back))
     reasons = (
@@ -154,7 +154,7 @@ def rewritten_nodes(nodes: DataFrame, rewriter: Rewriter, text: str = "text", co
     keep = F.col("needs_review") | F.col("frozen_text").isNull()
     judged = judged.withColumn("rewritten_text", F.when(keep, F.col(text)).otherwise(back))
     judged = judged.withColumn("changed", ~F.col("needs_review") & (F.col("rewritten_text") != F.col(text)))
-    return judged.drop("frozen_text", "tokens", "answer", "answer_error")
+    return judged.drop("frozen_text", "tokens", "answer", "answer_error", "__back__")
 
 
 def repaired(df: DataFrame, text: str, rewriter: Rewriter, issues: Callable[[Column, Column], Column], rounds: int = 3) -> DataFrame:

@@ -19,6 +19,8 @@ def build_session(app: str = "palimpsest", master: str | None = None, **conf: st
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # stages here do much work for each byte, so small shuffles stay spread over the cores
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
