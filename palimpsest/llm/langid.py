@@ -70,46 +70,75 @@ SEEDS = {
     "They were not able to see which of the children had taken the other book with them. "
     "It is often said that the weather in spring changes every hour, but this year it did not. "
     "You should have your papers with you whenever you go through one of these doors. "
-    "Where have they been, and why did nothing happen after everything that was said?",
+    "Where have they been, and why did nothing happen after everything that was said? "
+    "The amount was paid back to my account yesterday, although nobody had told me about it. "
+    "For this reason we cannot give you more than one copy of the same letter. "
+    "Her brother works at the station and comes home late in the evening. "
+    "Which of these two would you rather have, the large one or the small one? "
+    "Children under twelve may use the bath only together with an adult.",
     "nl": "Het huis op de heuvel werd lang geleden gebouwd en niemand weet wie er het eerst woonde. "
     "Wij danken u voor uw brief en zullen hem zo snel mogelijk beantwoorden. "
     "Als u nog vragen hebt, laat ons dan weten wat u nodig hebt en wanneer dat moet gebeuren. "
     "Zij konden niet zien welke van de kinderen het andere boek had meegenomen naar school. "
     "Er wordt vaak gezegd dat het weer in het voorjaar ieder uur verandert, maar dit jaar niet. "
     "U moet uw papieren altijd bij u hebben wanneer u door een van deze deuren gaat. "
-    "Waar zijn ze geweest en waarom is er niets gebeurd na alles wat er gezegd werd?",
+    "Waar zijn ze geweest en waarom is er niets gebeurd na alles wat er gezegd werd? "
+    "Het bedrag werd gisteren op mijn rekening teruggestort, hoewel niemand mij daarover had ingelicht. "
+    "Om deze reden kunnen wij u niet meer dan een kopie van dezelfde brief geven. "
+    "Haar broer werkt op het station en komt 's avonds laat thuis. "
+    "Welke van deze twee wilt u liever hebben, de grote of de kleine? "
+    "Kinderen onder de twaalf jaar mogen het bad alleen samen met een volwassene gebruiken.",
     "de": "Das Haus auf dem Hügel wurde vor langer Zeit gebaut und niemand weiß, wer dort zuerst wohnte. "
     "Wir danken Ihnen für Ihren Brief und werden ihn so schnell wie möglich beantworten. "
     "Wenn Sie noch Fragen haben, teilen Sie uns bitte mit, was Sie brauchen und wann es sein muss. "
     "Sie konnten nicht sehen, welches der Kinder das andere Buch in die Schule mitgenommen hatte. "
     "Man sagt oft, dass sich das Wetter im Frühling jede Stunde ändert, aber dieses Jahr war es nicht so. "
     "Sie müssen Ihre Unterlagen immer bei sich haben, wenn Sie durch eine dieser Türen gehen. "
-    "Wo sind sie gewesen und warum ist nach allem, was gesagt wurde, nichts geschehen?",
+    "Wo sind sie gewesen und warum ist nach allem, was gesagt wurde, nichts geschehen? "
+    "Der Betrag wurde gestern auf mein Konto zurückgezahlt, obwohl mir niemand etwas davon gesagt hatte. "
+    "Aus diesem Grund können wir Ihnen nicht mehr als eine Kopie desselben Schreibens geben. "
+    "Ihr Bruder arbeitet am Bahnhof und kommt abends spät nach Hause. "
+    "Welches von diesen beiden möchten Sie lieber haben, das große oder das kleine? "
+    "Kinder unter zwölf Jahren dürfen das Bad nur zusammen mit einem Erwachsenen benutzen.",
     "fr": "La maison sur la colline a été construite il y a longtemps et personne ne sait qui y vivait d'abord. "
     "Nous vous remercions de votre lettre et nous y répondrons dès que possible. "
     "Si vous avez encore des questions, dites-nous ce dont vous avez besoin et pour quand. "
     "Ils ne pouvaient pas voir lequel des enfants avait emporté l'autre livre à l'école. "
     "On dit souvent que le temps change toutes les heures au printemps, mais pas cette année. "
     "Vous devez toujours avoir vos papiers sur vous lorsque vous passez par l'une de ces portes. "
-    "Où étaient-ils et pourquoi rien ne s'est-il passé après tout ce qui a été dit?",
+    "Où étaient-ils et pourquoi rien ne s'est-il passé après tout ce qui a été dit? "
+    "Le montant a été remboursé hier sur mon compte, bien que personne ne m'en ait parlé. "
+    "C'est pourquoi nous ne pouvons pas vous donner plus d'une copie de la même lettre. "
+    "Son frère travaille à la gare et rentre tard le soir à la maison. "
+    "Lequel de ces deux préférez-vous avoir, le grand ou le petit? "
+    "Les enfants de moins de douze ans ne peuvent utiliser le bain qu'avec un adulte.",
     "es": "La casa de la colina fue construida hace mucho tiempo y nadie sabe quién vivió allí primero. "
     "Le agradecemos su carta y la contestaremos tan pronto como sea posible. "
     "Si tiene más preguntas, díganos qué necesita y para cuándo lo necesita usted. "
     "No podían ver cuál de los niños se había llevado el otro libro a la escuela. "
     "Se dice a menudo que el tiempo cambia cada hora en primavera, pero este año no fue así. "
     "Debe llevar siempre sus papeles consigo cuando pase por una de estas puertas. "
-    "¿Dónde han estado y por qué no ocurrió nada después de todo lo que se dijo?",
+    "¿Dónde han estado y por qué no ocurrió nada después de todo lo que se dijo? "
+    "El importe fue devuelto ayer a mi cuenta, aunque nadie me había dicho nada al respecto. "
+    "Por esta razón no podemos darle más de una copia de la misma carta. "
+    "Su hermano trabaja en la estación y llega tarde a casa por la noche. "
+    "¿Cuál de estos dos prefiere usted tener, el grande o el pequeño? "
+    "Los niños menores de doce años solo pueden usar el baño junto con un adulto. "
+    "Rellene la solicitud y envíela en un plazo de un mes para que podamos examinarla.",
     "ja": "丘の上の家はずっと昔に建てられたもので、最初に誰が住んでいたのか誰も知りません。"
     "お手紙をいただきありがとうございます。できるだけ早くお返事いたします。"
     "ご質問がございましたら、何がいつまでに必要なのかをお知らせください。"
     "春の天気は一時間ごとに変わるとよく言われますが、今年はそうではありませんでした。"
-    "このドアを通るときは、いつも書類を持っていなければなりません。",
+    "このドアを通るときは、いつも書類を持っていなければなりません。"
+    "金額は昨日私の口座に返金されましたが、誰もそのことを教えてくれませんでした。"
+    "この理由により、同じ手紙の写しを一通以上お渡しすることはできません。"
+    "彼女の兄は駅で働いていて、夜遅く家に帰ります。",
 }
 
 
 def normal_label(lang: Column) -> Column:
     """A label as a two-letter code; null where it is null, blank or says unknown; other names as they are."""
-    base = F.lower(F.trim(F.regexp_extract(F.trim(lang), r"^([^-_]*)", 1)))
+    base = F.lower(F.trim(F.regexp_extract(F.trim(lang), r"^([^-_\s(;,]*)", 1)))
     plain = F.lower(F.trim(lang))
     out = F.when(lang.isNull() | plain.isin(*UNKNOWN) | base.isin(*UNKNOWN), F.lit(None).cast("string"))
     for code, names in NAMES.items():
@@ -212,7 +241,7 @@ def segments(texts: list[str]) -> Segments:
     text = of_text[begins]
     letters = np.bincount(seg, sym > 0, count).astype(np.int64)
     keep = (sym > 0) | np.r_[True, sym[:-1] > 0]
-    s, g = sym[keep], seg[keep]
+    s, g = np.r_[0, sym[keep]], np.r_[0, seg[keep]]  # a word end before the first text too
     tri = (s[:-2] * K + s[1:-1]) * K + s[2:]
     mid = s[1:-1] > 0
     return Segments(text, letters, begins - base[text], ends + 1 - base[text], tri[mid], g[1:-1][mid])

@@ -337,6 +337,7 @@ def _markdown(text: str) -> Iterator[tuple[str, str]]:
         if re.fullmatch(r"\s*\|?(\s*:?-{3,}:?\s*\|?)+\s*", line):
             continue
         kind = "text"
+        line = re.sub(r"^\s*> ", "", line)
         if m := re.match(r"\s*(#{1,6}) (.*?)#*$", line):
             kind, line = f"heading{len(m[1])}", m[2]
         elif m := re.match(r"\s*(?:[-*+]|\d+\.) (.*)$", line):
