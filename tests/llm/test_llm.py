@@ -179,8 +179,9 @@ def test_defects(spark, model):
 
 def test_near_copies_of_a_refusal_are_one_cluster(spark):
     long = "i am sorry but i am not able to help with that request {}"
-    data = [(long.format(w), 1000 + i, 0.0) for i, w in enumerate(("today", "now", "here"))] + [("you pay # euro a month for the card", 5, 0.9)] * 4
-    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double")
+    data = [(long.format(w), 1000 + i, 0.1, 0.09) for i, w in enumerate(("today", "now", "here"))] + [("you pay # euro a month for the card", 5, 0.9, 0.1)] * 4
+    data += [("only asks for a tax statement now", 2000 + i, 0.1, 0.0) for i in range(5)]
+    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double")
     assert {r.opening for r in pairs.refusal_openings(seen).collect()} == {d[0] for d in data[:3]}
 
 
