@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,3 +66,35 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def put(spark: SparkSession, name: str, content: bytes) -> str:
+    """Write a file to the shared folder; gives its path."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    file = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    try:
+        file.write(content)
+    finally:
+        file.close()
+    return path.toString()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the executors once, where their Python isn't known to find it by its path."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    application = spark.sparkContext.applicationId
+    if application in _shipped or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as file:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    file.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(put(spark, f"package-{uuid.uuid4().hex}.zip", buffer.getvalue()))
+    _shipped.add(application)
