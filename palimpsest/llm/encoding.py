@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.session import shared_dir
+from palimpsest.session import put
 
 #: Folder of the public vocabulary files; a parameter of every operator here.
 TOKENIZERS = "/opt/tokenizers"
@@ -236,14 +236,7 @@ def frequent_words(docs: DataFrame, text: str, size: int = LEXICON_SIZE) -> list
 def shared_lexicon(spark: SparkSession, lexicon: Lexicon) -> str:
     """Write the lexicon to the shared folder and hand it out; gives the name executors find it by."""
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
-    file = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
-    try:
-        file.write(lexicon.dump())
-    finally:
-        file.close()
-    spark.sparkContext.addFile(path.toString())
+    spark.sparkContext.addFile(put(spark, name, lexicon.dump()))
     return name
 
 
