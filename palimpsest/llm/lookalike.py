@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.session import stored
+
 LIMIT = 0x20000
 CHUNK_CHARS = 400_000
 
@@ -244,7 +246,7 @@ def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     a group of equal copies costs no more than its rows. A key must name one row; a repeated row
     gives the same pair once.
     """
-    rows = classes(df, key, text)
+    rows = stored(classes(df, key, text))
     variants = rows.select("class", "variant").distinct()
     several = variants.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
     members = rows.join(several, "class", "left_semi")
