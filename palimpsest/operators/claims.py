@@ -197,3 +197,48 @@ def from_sentences(df: DataFrame, doc: str, text: str, kind: Column, keep: tuple
         F.when(s.rlike(r"(?:USD|EUR|GBP|[€£$])"), "high").otherwise("medium").alias("severity"),
         "source_text",
     )
+
+
+# ---- with a model ----------------------------------------------------------------------------
+
+
+def extracted(chunks: DataFrame, doc: str, chunk: str, text: str, model) -> DataFrame:
+    """Claims that a model finds in the chunks of each document, the first of equal ones; a failed call has none."""
+    from palimpsest.functions import prompts
+    from palimpsest.operators.rewriting import called
+
+    asked = chunks.select(doc, chunk, prompts.claims_column(F.col(text), (*TEXT_FIELDS, *FLAGS, "severity", "source_text")).alias("__ask__"))
+    return deduplicated(parsed(called(asked, "__ask__", model), chunk, "answer", (doc,)), doc)
+
+
+def assisted(results: DataFrame, candidates_: DataFrame, doc: str, model) -> DataFrame:
+    """Results with those that fields leave open (uncertain, weakened, strengthened) judged by a model over the claim and
+    its candidates; an answer that isn't JSON or a failed call changes nothing. method says who decided."""
+    from palimpsest.functions import prompts
+    from palimpsest.operators.rewriting import called
+
+    listed = candidates_.groupBy(doc, F.col("a.claim_id").alias("claim_id")).agg(  # at most k candidates
+        F.first(F.to_json("a")).alias("__claim__"), F.to_json(F.array_sort(F.collect_list(F.struct("rank", "b")))).alias("__all__")
+    )
+    open_ = results.where(F.col("result").isin("uncertain", "weakened", "strengthened")).select(doc, "claim_id").join(listed, [doc, "claim_id"])
+    asked = open_.select(doc, "claim_id", prompts.comparison_column(F.col("__claim__"), F.col("__all__")).alias("__ask__"))
+    answer = X.json_object(F.col("answer"), "result string, best_match_claim_id string, severity string, explanation string")
+    told = called(asked, "__ask__", model).select(doc, "claim_id", answer.alias("__m__")).where("__m__.result is not null")
+    joined = results.join(told, [doc, "claim_id"], "left")
+    return joined.withColumns(
+        {
+            "result": F.coalesce("__m__.result", "result"),
+            "matched_claim_id": F.coalesce("__m__.best_match_claim_id", "matched_claim_id"),
+            "method": F.when(F.col("__m__").isNotNull(), "model").otherwise("fields"),
+        }
+    ).drop("__m__")
+
+
+def judged(pairs: DataFrame, doc: str, before: str, after: str, findings: str, model) -> DataFrame:
+    """doc and semantic_equivalent as a model judges two texts; false where it gives no answer."""
+    from palimpsest.functions import prompts
+    from palimpsest.operators.rewriting import called
+
+    asked = pairs.select(doc, prompts.judgement_column(F.col(before), F.col(after), F.col(findings)).alias("__ask__"))
+    answer = X.json_object(F.col("answer"), "semantic_equivalent boolean, summary string")
+    return called(asked, "__ask__", model).select(doc, F.coalesce(answer["semantic_equivalent"], F.lit(False)).alias("semantic_equivalent"))

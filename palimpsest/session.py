@@ -98,3 +98,12 @@ def ship(spark: SparkSession) -> None:
                     file.write(full, os.path.relpath(full, root))
     spark.sparkContext.addPyFile(put(spark, f"package-{uuid.uuid4().hex}.zip", buffer.getvalue()))
     _shipped.add(application)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the tables that stored() wrote, once no DataFrame over them is needed."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(root):
+        if status.getPath().getName().startswith("stored-"):
+            fs.delete(status.getPath(), True)

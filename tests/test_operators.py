@@ -432,3 +432,53 @@ def test_sinks(spark, tmp_path):
     got = sinks.history_rows(spark.createDataFrame([("5",), ("6",)], "num string")).collect()
     assert len({r.id for r in got}) == 2 and all(r.date for r in got)
     assert len(sinks.docx_files(spark.createDataFrame([("k", ["a", None])], "k string, p array<string>"), "k", "p").first().content) > 500
+
+
+# ---- with a model ----------------------------------------------------------------------------
+
+
+def canned(**answers):
+    """A model that answers by the first of its words that a request holds."""
+
+    class Canned:
+        def rewrite(self, requests):
+            return [next((a for w, a in answers.items() if w in t), "no idea") for t, _ in requests]
+
+    return Canned()
+
+
+def test_claims_by_a_model(spark):
+    chunks = spark.createDataFrame([("d", "k1", "first text"), ("d", "k2", "second text"), ("e", "k3", "other")], "doc string, chunk string, t string")
+    found = claims.extracted(chunks, "doc", "chunk", "t", canned(first='{"claims": [{"subject": "a"}]}', second='{"claims": [{"subject": "A "}, {"subject": "b"}]}'))
+    assert rows(found, "doc", "subject") == [("d", "a"), ("d", "b")]
+    a, b = claim(spark, {}, {"subject": "x", "action": "go"}), claim(spark, {"value": "6"}, {"subject": "x", "action": "go"})
+    results, _ = claims.compared(a, b, "doc")
+    told = claims.assisted(results, claims.candidates(a, b, "doc"), "doc", canned(claim='{"result": "preserved", "best_match_claim_id": "c1"}'))
+    assert rows(told, "claim_id", "result", "method") == [("c0", "preserved", "model"), ("c1", "preserved", "fields")]
+    same = claims.assisted(results, claims.candidates(a, b, "doc"), "doc", canned())
+    assert rows(same, "claim_id", "result", "method") == [("c0", "uncertain", "fields"), ("c1", "preserved", "fields")]
+    pairs = spark.createDataFrame([("d", "alpha", "beta", "none"), ("e", "gamma", "delta", "none")], "doc string, a string, b string, f string")
+    assert rows(claims.judged(pairs, "doc", "a", "b", "f", canned(alpha='{"semantic_equivalent": true}'))) == [("d", True), ("e", False)]
+    docs = spark.createDataFrame([("d", True, True, False)], "doc string, n boolean, t boolean, j boolean")
+    none = claim(spark).limit(0)
+    results, new = claims.compared(none, none, "doc")
+    assert claims.decisions(docs, "doc", "n", "t", results, new, "j").first().decision == "review"
+
+
+def test_prompts():
+    from palimpsest.functions import prompts
+
+    assert "Rules:\n- r1\n- r2" in prompts.system("cards", "p", ["r1", "r2"]) and "Rules" not in prompts.system("cards", "p", [])
+    assert prompts.block("", "", "x", "") == "Text to rewrite:\nx" and prompts.chunk("a", "b", "c", 1, 2).startswith("Part 1 of 2")
+    assert "smooth" in prompts.polish("a", "b") and prompts.section([], "[[P0]]\nx").endswith("[[P0]]\nx")
+    assert prompts.claims("T", ["a"]).endswith("T") and len(prompts.judgement("x" * 20_000, "y", "f")) < 13_000
+
+
+def test_stored_tables_can_be_cleared(spark):
+    from palimpsest import session
+
+    df = session.stored(spark.range(3))
+    assert df.count() == 3
+    session.clear(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(df.inputFiles()[0]).count()
