@@ -145,19 +145,19 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def article_sides(spark: SparkSession, folder: str) -> DataFrame:
-    """article_id, side and text of the blocks, each key once; the side rewritten has rewritten pairs only."""
-    each = table(spark, folder, "block_audit").dropDuplicates(["article_id", "block_id"])
+    """article_id, side, block_id and text of the blocks; the side rewritten has rewritten pairs only."""
+    each = table(spark, folder, "block_audit")
     sides = F.array(
         F.struct(F.lit("original").alias("side"), F.col("original_text").alias("text")),
         F.struct(F.lit("rewritten").alias("side"), F.when(F.col("status").isin(*REWRITTEN), F.col("rewritten_text")).alias("text")),
     )
-    return each.select("article_id", F.explode(sides).alias("s")).select("article_id", "s.side", "s.text")
+    return each.select("article_id", "block_id", F.explode(sides).alias("s")).select("article_id", "s.side", "block_id", "s.text")
 
 
 def p2_levels(spark: SparkSession, folder: str) -> DataFrame:
     return readability.levels(
         article_sides(spark, folder), table(spark, folder, "level_labels"), language_model(spark, folder),
-        ["article_id", "side"], "text", "reading_level", ["article_id"],
+        ["article_id", "side"], ["block_id"], "text", "reading_level", ["article_id"],
     )
 
 

@@ -15,8 +15,9 @@ counts run over all documents.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,22 +46,37 @@ def sentences(text: str) -> int:
     return sum(1 for s in _SENTENCE.split(text) if _WORD.search(s.lower()))
 
 
-def counted_words(texts: DataFrame, model: langid.Model, doc: list[str], text: str) -> DataFrame:
-    """Words of the English passages by document, added up within each Arrow batch, and per document a row without
-    a word that has its sentences, tokens, letters and English letters."""
+FACTS = ("sentences", "tokens", "letters", "english")
+
+
+def counted_words(texts: DataFrame, model: langid.Model, doc: list[str], item: list[str], text: str) -> DataFrame:
+    """doc, words, counts and facts (sentences, tokens, letters, English letters) of each document.
+
+    Rows are range-partitioned and sorted by document and item, so a batch holds its documents
+    whole but for the first and the last, and rows of one item lie side by side, of which one
+    counts. Documents inside a batch are done; only those at its edges, which a large document is
+    many times, are merged by word. Null texts count nothing.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(model.table)
-    taken = texts.where(F.col(text).isNotNull()).select(*doc, F.col(text).alias("__text__"))
+    taken = texts.where(F.col(text).isNotNull()).select(*doc, *item, F.col(text).alias("__text__"))
+    ordered = taken.repartitionByRange(*doc, *item).sortWithinPartitions(*doc, *item)
     kinds = dict(taken.dtypes)
 
     def run(batches):
         local = langid.Model(shared.value)
+        last = None
         for batch in batches:
             at = batch.schema.get_field_index
-            keys = list(zip(*(batch.column(at(d)).to_pylist() for d in doc)))
-            values = batch.column(at("__text__")).to_pylist()
-            words: dict[tuple, Counter] = defaultdict(Counter)
-            facts: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-            for key, value, passages in zip(keys, values, local.passages(values)):
+            keys = list(zip(*(batch.column(at(c)).to_pylist() for c in [*doc, *item])))
+            fresh = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else last)]
+            last = keys[-1] if keys else last
+            values = batch.column(at("__text__")).take(pa.array(fresh, pa.int64())).to_pylist()
+            words: dict[tuple, Counter] = {}
+            facts: dict[tuple, list[int]] = {}
+            for i, value, passages in zip(fresh, values, local.passages(values)):
+                key = keys[i][: len(doc)]
+                if key not in facts:
+                    facts[key], words[key] = [0, 0, 0, 0], Counter()
                 fact = facts[key]
                 for lang, _, letters, start, stop in passages:
                     fact[2] += letters
@@ -70,23 +86,39 @@ def counted_words(texts: DataFrame, model: langid.Model, doc: list[str], text: s
                         fact[0] += sentences(value[start:stop])
                         fact[1] += len(found)
                         fact[3] += letters
-            rows = [(*k, w, n, 0, 0, 0, 0) for k, c in words.items() for w, n in c.items()]
-            rows += [(*k, None, 0, *f) for k, f in facts.items()]
-            columns = list(zip(*rows)) or [()] * (len(doc) + 6)
-            kind = [batch.schema.field(at(d)).type for d in doc] + [pa.string(), *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kind)], [*doc, "word", *NUMBERS])
-
-    schema = ", ".join(f"`{d}` {kinds[d]}" for d in doc) + ", word string, " + ", ".join(f"{n} bigint" for n in NUMBERS)
-    grouped = taken.mapInArrow(run, schema).groupBy(*doc, "word")
-    return grouped.agg(*(F.sum(n).alias(n) for n in NUMBERS))
-
-
-NUMBERS = ("n", "sentences", "tokens", "letters", "english")
+            edges = {keys[0][: len(doc)], keys[-1][: len(doc)]} if keys else set()
+            order = list(facts)
+            offsets = pa.array([0, *np.cumsum([len(words[k]) for k in order])], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array([k[n] for k in order], batch.schema.field(at(d)).type) for n, d in enumerate(doc)),
+                    pa.array([k not in edges for k in order], pa.bool_()),
+                    pa.ListArray.from_arrays(offsets, pa.array([w for k in order for w in words[k]], pa.string())),
+                    pa.ListArray.from_arrays(offsets, pa.array([n for k in order for n in words[k].values()], pa.int64())),
+                    *(pa.array([facts[k][n] for k in order], pa.int64()) for n in range(len(FACTS))),
+                ],
+                [*doc, "__whole__", "words", "counts", *FACTS],
+            )
+
+    schema = ", ".join(f"`{d}` {kinds[d]}" for d in doc) + ", __whole__ boolean, words array<string>, counts array<bigint>, "
+    parts = stored(ordered.mapInArrow(run, schema + ", ".join(f"{f} bigint" for f in FACTS)))
+    edge = parts.where("not __whole__")
+    each = edge.select(*doc, F.explode(F.arrays_zip("words", "counts")).alias("w"))
+    each = each.groupBy(*doc, F.col("w.words").alias("w")).agg(F.sum("w.counts").alias("n"))
+    listed = each.groupBy(*doc).agg(F.collect_list(F.struct("w", "n")).alias("l"))  # as many as the document's distinct words
+    facts = edge.groupBy(*doc).agg(*(F.sum(f).alias(f) for f in FACTS))
+    none = F.array().cast("array<struct<w:string,n:bigint>>")
+    found = F.coalesce("l", none)
+    merged = facts.join(listed, doc, "left").select(
+        *doc, F.transform(found, lambda x: x["w"]).alias("words"), F.transform(found, lambda x: x["n"]).alias("counts"), *FACTS
+    )
+    return parts.where("__whole__").drop("__whole__").unionByName(merged)
 
 
-def vocabulary(words: DataFrame, labels: DataFrame, doc: list[str], level: str, max_vocabulary: int = MAX_VOCABULARY) -> DataFrame:
+def vocabulary(counted: DataFrame, labels: DataFrame, doc: list[str], level: str, max_vocabulary: int = MAX_VOCABULARY) -> DataFrame:
     """word, plain_rank and basic_rank of the labelled documents' words, at most max_vocabulary of them."""
-    known = words.join(labels.select(*doc, level).distinct(), doc)
+    known = counted.join(labels.select(*doc, level).distinct(), doc).select(level, F.explode(F.arrays_zip("words", "counts")).alias("w"))
+    known = known.select(level, F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     total = [F.sum(F.when(F.col(level) == name, F.col("n")).otherwise(0)).alias(name) for name in LEVELS]
     each = known.groupBy("word").agg(*total).orderBy(F.desc(F.col("basic") + F.col("intermediate") + F.col("advanced")), "word")
     each = each.limit(max_vocabulary)
@@ -103,28 +135,39 @@ def vocabulary(words: DataFrame, labels: DataFrame, doc: list[str], level: str,
     return rates.select("word", by("plain").alias("plain_rank"), by("basic").alias("basic_rank"))
 
 
-def coverage(words: DataFrame, ranked: DataFrame, doc: list[str]) -> DataFrame:
-    """For each document the ranks at which COVERED of its tokens are covered, as shares of the vocabulary.
+def covered_rank(ranks: list[int], counts: list[int], share: float = COVERED) -> int:
+    """The smallest rank up to which the words cover a share of the tokens."""
+    order = np.argsort(np.array(ranks, np.int64), kind="stable")
+    upto = np.cumsum(np.array(counts, np.int64)[order])
+    return int(np.array(ranks)[order][np.searchsorted(upto, share * upto[-1])])
 
-    A document's list holds its words in the vocabulary, so at most the vocabulary's bound; those
-    outside only add to its size.
-    """
-    size = ranked.agg(F.count("*").alias("size"))
-    joined = words.join(F.broadcast(ranked), "word", "left")  # ranked has a bound
-    seen = F.when(F.col("plain_rank").isNotNull(), F.struct("plain_rank", "basic_rank", "n"))
-    each = joined.groupBy(*doc).agg(F.collect_list(seen).alias("seen"), F.sum("n").alias("all"))
-    each = each.crossJoin(F.broadcast(size))  # one row
 
-    def reached(rank: str):
-        ordered = F.array_sort(F.transform("seen", lambda x: F.struct(x[rank].alias("rank"), x["n"].alias("n"))))
-        none = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(None).cast("int").alias("rank"))
-        step = lambda acc, x: F.struct(
-            (acc["upto"] + x["n"]).alias("upto"),
-            F.coalesce(acc["rank"], F.when(acc["upto"] + x["n"] >= COVERED * F.col("all"), x["rank"])).alias("rank"),
-        )
-        return F.coalesce(F.aggregate(ordered, none, step)["rank"], F.col("size") + 1) / (F.col("size") + 1)
+def coverage(counted: DataFrame, ranked: DataFrame, doc: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc, the kept columns and for each document with words the ranks at which COVERED of its tokens are covered, as
+    shares of the vocabulary, which is sent to the executors (it has a bound); words outside it come last."""
+    rows = ranked.collect()
+    shared = counted.sparkSession.sparkContext.broadcast({r.word: (r.plain_rank, r.basic_rank) for r in rows})
+    kept = counted.where(F.size("words") > 0).select(*doc, *keep, "words", "counts")
+    kinds = dict(kept.dtypes)
+    names = [*doc, *keep]
+
+    def run(batches):
+        known = shared.value
+        last = len(known) + 1
+        for batch in batches:
+            at = batch.schema.get_field_index
+            plain, basic = [], []
+            for words, counts in zip(batch.column(at("words")).to_pylist(), batch.column(at("counts")).to_pylist()):
+                ranks = [known.get(w, (last, last)) for w in words]
+                plain.append(covered_rank([r[0] for r in ranks], counts) / last)
+                basic.append(covered_rank([r[1] for r in ranks], counts) / last)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(at(n)) for n in names), pa.array(plain, pa.float64()), pa.array(basic, pa.float64())],
+                [*names, "plain_coverage", "basic_coverage"],
+            )
 
-    return each.select(*doc, reached("plain_rank").alias("plain_coverage"), reached("basic_rank").alias("basic_coverage"))
+    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", plain_coverage double, basic_coverage double"
+    return kept.mapInArrow(run, schema)
 
 
 def threshold(labelled: DataFrame, score: str, positive, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
@@ -153,21 +196,22 @@ def threshold(labelled: DataFrame, score: str, positive, weights: tuple[float, .
     return best.select("weight", ((F.col("bin") + F.col("next")) / 2 / BINS).alias("threshold"))
 
 
-def levels(texts: DataFrame, labels: DataFrame, model: langid.Model, doc: list[str], text: str, level: str, group: list[str]) -> DataFrame:
+def levels(
+    texts: DataFrame, labels: DataFrame, model: langid.Model, doc: list[str], item: list[str], text: str, level: str, group: list[str]
+) -> DataFrame:
     """doc, coverages, sentence_words and level of every document in English.
 
-    ``doc`` names a document and ``group`` the part of it whose letters decide whether it is in
-    English. Null texts count nothing; a document without English words has no row; where labels of
-    a kind are missing the level is null. Labels of documents without a text are ignored.
+    ``doc`` names a document, ``item`` a text of it (rows of one item count once) and ``group`` the
+    part of doc whose letters decide whether it is in English. Null texts count nothing; a document
+    without English words has no row; where labels of a kind are missing the level is null. Labels
+    of documents without a text are ignored.
     """
-    every = stored(counted_words(texts, model, doc, text))
-    words = every.where(F.col("word").isNotNull()).select(*doc, "word", "n")
-    facts = every.where(F.col("word").isNull()).select(*doc, "sentences", "tokens", "letters", "english")
-    english = facts.groupBy(*group).agg((F.sum("english") > ENGLISH_SHARE * F.sum("letters")).alias("ok")).where("ok").select(*group)
-    facts = facts.where("tokens > 0").join(english, group, "left_semi")
-    ranked = stored(vocabulary(words, labels, doc, level))
+    counted = counted_words(texts, model, doc, item, text)
+    english = counted.groupBy(*group).agg((F.sum("english") > ENGLISH_SHARE * F.sum("letters")).alias("ok")).where("ok").select(*group)
+    counted = counted.where("tokens > 0").join(english, group, "left_semi")
+    ranked = vocabulary(counted, labels, doc, level)
     length = F.col("tokens") / F.greatest(F.col("sentences"), F.lit(1))
-    scored = facts.join(coverage(words, ranked, doc), doc).withColumn("sentence_words", length)
+    scored = coverage(counted, ranked, doc, ("sentences", "tokens")).withColumn("sentence_words", length)
     scored = stored(scored.withColumn("complexity", F.least(F.col("sentence_words"), F.lit(LONG_SENTENCE)) / LONG_SENTENCE))
     known = scored.join(labels.select(*doc, F.col(level).alias("level")).distinct(), doc)
     high = threshold(known, "plain_coverage", F.col("level") == "advanced").select(

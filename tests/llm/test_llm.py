@@ -199,13 +199,13 @@ def test_levels(spark, model):
         level = ("basic", "intermediate", "advanced")[i % 3]
         for b in range(4):
             words = [rnd.choice(text[level]) for _ in range(30)]
-            data.append((f"a{i}", "original", " ".join(words[:15]) + ". " + " ".join(words[15:]) + "."))
+            data += [(f"a{i}", "original", b, " ".join(words[:15]) + ". " + " ".join(words[15:]) + ".")] * rnd.choice([1, 1, 2])
         if i < 40:
             labels.append((f"a{i}", "original", level))
-    data += [("nl", "original", NL * 3), ("null", "original", None), ("empty", "original", "")]
-    df = spark.createDataFrame(data, "article_id string, side string, text string")
+    data += [("nl", "original", 0, NL * 3), ("null", "original", 0, None), ("empty", "original", 0, "")]
+    df = spark.createDataFrame(data, "article_id string, side string, block_id int, text string").withColumn("words", F.lit("clash"))
     known = spark.createDataFrame(labels, "article_id string, side string, reading_level string")
-    run = lambda d, k: readability.levels(d, k, model, ["article_id", "side"], "text", "reading_level", ["article_id"])
+    run = lambda d, k: readability.levels(d, k, model, ["article_id", "side"], ["block_id"], "text", "reading_level", ["article_id"])
     got = {r.article_id: r.reading_level for r in run(df, known).collect()}
     assert set(got) == {f"a{i}" for i in range(60)}
     assert {i for i in range(60) if got[f"a{i}"] == "advanced"} == {i for i in range(60) if i % 3 == 2}
@@ -213,18 +213,35 @@ def test_levels(spark, model):
     assert run(df.limit(0), known).count() == 0
 
 
+def test_words_are_counted_once_for_each_item(spark, model):
+    rnd = random.Random(6)
+    pool = EN.lower().replace(".", "").split()
+    data = [(d, i, " ".join(pool + rnd.choices(pool, k=4)) + ".") for d, n in (("hot", 500), ("a", 3), ("b", 40), ("c", 1)) for i in range(n)]
+    twice = data + rnd.sample(data, 200)
+    rnd.shuffle(twice)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        df = spark.createDataFrame(twice, "d string, i int, text string").repartition(3)
+        got = {r.d: (dict(zip(r.words, r.counts)), r.tokens, r.sentences) for r in readability.counted_words(df, model, ["d"], ["i"], "text").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    for d in ("hot", "a", "b", "c"):
+        words = [w for e, _, t in data if e == d for w in t[:-1].split()]
+        assert got[d] == ({w: words.count(w) for w in set(words)}, len(words), len(words) // (len(pool) + 4))
+
+
 def test_coverage_is_the_smallest_vocabulary(spark):
     rnd = random.Random(4)
     ranked = spark.createDataFrame([(f"w{i}", i + 1, 20 - i) for i in range(20)], "word string, plain_rank int, basic_rank int")
-    data = [(d, f"w{i}", rnd.randint(1, 9)) for d in range(8) for i in rnd.sample(range(26), 9)]
-    got = {r.d: (r.plain_coverage, r.basic_coverage) for r in readability.coverage(spark.createDataFrame(data, "d int, word string, n long"), ranked, ["d"]).collect()}
-    for d in range(8):
+    data = [(d, [f"w{i}" for i in rnd.sample(range(26), 9)], [rnd.randint(1, 9) for _ in range(9)]) for d in range(8)] + [(9, [], [])]
+    got = {r.d: (r.plain_coverage, r.basic_coverage) for r in readability.coverage(spark.createDataFrame(data, "d int, words array<string>, counts array<long>"), ranked, ["d"]).collect()}
+    assert set(got) == set(range(8))
+    for d, words, counts in data[:-1]:
         for k, rank in enumerate((lambda i: i + 1 if i < 20 else 21, lambda i: 20 - i if i < 20 else 21)):
-            words = sorted((rank(int(w[1:])), n) for e, w, n in data if e == d)
-            total, upto = sum(n for _, n in words), 0
-            for r, n in words:
+            upto = 0
+            for r, n in sorted((rank(int(w[1:])), n) for w, n in zip(words, counts)):
                 upto += n
-                if upto >= readability.COVERED * total:
+                if upto >= readability.COVERED * sum(counts):
                     assert got[d][k] == pytest.approx(r / 21)
                     break
 
