@@ -259,15 +259,16 @@ def scores_of_counts(counts: np.ndarray) -> np.ndarray:
     weights = np.sqrt(counts / np.maximum(counts.sum(1, keepdims=True), 1))
     seen = np.flatnonzero(counts.sum(0))
     protos = np.zeros((len(counts), DIM), np.float32)
-    for at in range(0, len(seen), 4096):
-        t = seen[at : at + 4096]
+    for at in range(0, len(seen), 1024):
+        t = seen[at : at + 1024]
         protos += weights[:, t].astype(np.float32) @ (r2[t // (K * K)] * r1[t // K % K] * base[t % K])
     protos -= protos.mean(0)
     protos /= np.maximum(np.linalg.norm(protos, axis=1, keepdims=True), 1e-9)
-    pairs = (r2[:, None, :] * r1[None, :, :]).reshape(K * K, DIM)
-    out = np.empty((K * K, K, len(counts)), np.float32)
-    for lang, proto in enumerate(protos):
-        out[:, :, lang] = (pairs * proto) @ base.T
+    out = np.empty((K, K, K, len(counts)), np.float32)
+    for first in range(K):
+        pairs = r2[first] * r1
+        for lang, proto in enumerate(protos):
+            out[first, :, :, lang] = (pairs * proto) @ base.T
     return out.reshape(K**3, len(counts)) / np.float32(np.sqrt(DIM))
 
 
