@@ -197,9 +197,11 @@ def _flags(cps: np.ndarray, chars: list[int]) -> np.ndarray:
 
 @dataclass
 class Segments:
-    """Segments of some texts: the text each is of, its letters, and its trigrams in order with their segment."""
+    """Segments of some texts: the text each is of, the part between line ends and bars it is in, its letters, and its
+    trigrams in order with their segment."""
 
     text: np.ndarray
+    part: np.ndarray
     letters: np.ndarray
     start: np.ndarray
     end: np.ndarray
@@ -230,7 +232,8 @@ def segments(texts: list[str]) -> Segments:
         sym[(bad | long)[np.maximum(word, 0)] | space] = 0
     nxt = np.r_[space[1:], True]
     prev = np.r_[True, space[:-1]]
-    cut = (_flags(cps, _STOP) & nxt) | _flags(cps, _WIDE_STOP) | (_flags(cps, _BAR) & nxt & prev)
+    wide = (cps == 10) | (_flags(cps, _BAR) & nxt & prev)
+    cut = (_flags(cps, _STOP) & nxt) | _flags(cps, _WIDE_STOP) | wide
     last = np.cumsum(lens) - 1
     cut[last] = True
     seg = np.r_[0, np.cumsum(cut)[:-1]]
@@ -239,12 +242,13 @@ def segments(texts: list[str]) -> Segments:
     begins = np.r_[0, ends[:-1] + 1]
     base = np.r_[0, np.cumsum(lens)[:-1]]
     text = of_text[begins]
+    part = np.r_[0, np.cumsum(wide[ends])[:-1]]
     letters = np.bincount(seg, sym > 0, count).astype(np.int64)
     keep = (sym > 0) | np.r_[True, sym[:-1] > 0]
     s, g = np.r_[0, sym[keep]], np.r_[0, seg[keep]]  # a word end before the first text too
     tri = (s[:-2] * K + s[1:-1]) * K + s[2:]
     mid = s[1:-1] > 0
-    return Segments(text, letters, begins - base[text], ends + 1 - base[text], tri[mid], g[1:-1][mid])
+    return Segments(text, part, letters, begins - base[text], ends + 1 - base[text], tri[mid], g[1:-1][mid])
 
 
 @lru_cache(1)
@@ -357,8 +361,19 @@ def _passages(segs: Segments, found: np.ndarray, count: int, quoted: np.ndarray)
     top = np.sort(total, 1)
     bounds = np.searchsorted(segs.text, np.arange(count + 1))
     in_lang = np.zeros((count, found.shape[1]))
+    # what a segment leaves open, its part between line ends and bars may tell, unless clear segments of it disagree
     clear = sure & (lead > MIN_PASSAGE_LEAD)
-    np.add.at(in_lang, (segs.text[clear], best[clear]), segs.letters[clear])
+    parts = int(segs.part[-1]) + 1
+    by_part = np.zeros((parts, found.shape[1]))
+    np.add.at(by_part, segs.part, found * weight)
+    part_letters = np.bincount(segs.part, segs.letters, parts)
+    by_part /= np.sqrt(np.maximum(part_letters, 1))[:, None]
+    top_part = np.sort(by_part, 1)
+    part_clear = (part_letters >= MIN_PASSAGE_LETTERS) & (top_part[:, -1] - top_part[:, -2] > MIN_PASSAGE_LEAD) & (top_part[:, -1] > MIN_COSINE)
+    of_part = by_part.argmax(1)[segs.part]
+    part_clear &= np.bincount(segs.part, clear & (best != of_part), parts) == 0
+    told = np.where(clear, best, np.where(part_clear[segs.part] & (segs.letters > 0), of_part, -1))
+    np.add.at(in_lang, (segs.text[told >= 0], told[told >= 0]), segs.letters[told >= 0])
     for i in range(count):
         if max(letters[i], quoted[i] if letters[i] >= MIN_SEGMENT_LETTERS - 2 else 0) < MIN_TEXT_LETTERS or (top[i, -1] < MIN_COSINE and not in_lang[i].any()):
             yield []
@@ -374,9 +389,9 @@ def _passages(segs: Segments, found: np.ndarray, count: int, quoted: np.ndarray)
         out: list[list] = []
         now = None
         for k in range(bounds[i], bounds[i + 1]):
-            lang = int(best[k]) if sure[k] and int(best[k]) in allowed else now
+            lang = int(told[k]) if int(told[k]) in allowed else int(best[k]) if sure[k] and int(best[k]) in allowed else now
             if lang is None:
-                lang = next((int(best[m]) for m in range(k, bounds[i + 1]) if sure[m] and int(best[m]) in allowed), int(whole[i]))
+                lang = next((int(told[m]) for m in range(k, bounds[i + 1]) if int(told[m]) in allowed), int(whole[i]))
             now = lang
             sureness = 1 / (1 + np.exp(-12 * max(float(found[k, lang] - np.delete(found[k], lang).max()), 0.0)))
             if out and out[-1][0] == LANGS[lang]:
