@@ -126,7 +126,7 @@ def test_answers_that_are_not_empty():
     assert not any(map(pairs.is_empty, ("ok", "5", "Note: yes", "はい")))
 
 
-@pytest.mark.parametrize("answer", ["Pay 5 EUR, now.", "  PAY  5 eur now", "```text\nPay 5 EUR, now.\n```", '"Pay 5 EUR, now!"', "Here is the text: Pay 5 EUR, now."])
+@pytest.mark.parametrize("answer", ["Pay 5 EUR, now.", "  PAY  5 eur now", "```text\nPay 5 EUR, now.\n```", '"Pay 5 EUR, now!"', "Here is the text: Pay 5 EUR, now.", "<p>Pay 5 EUR,&nbsp;now.</p>"])
 def test_copies(answer):
     assert pairs.is_copy("Pay 5 EUR, now.", answer)
 
