@@ -94,7 +94,7 @@ def plain_pieces(text: str, most: int) -> list[str]:
     at the limit."""
     out = []
     while len(text) > most:
-        at = max(text.rfind(mark, 0, most + 1) for mark in "\n .;,")
+        at = max(text.rfind(mark, 0, most) for mark in "\n .;,")
         at = at + 1 if at >= int(most * 0.5) else most
         out.append(text[:at])
         text = text[at:]

@@ -488,6 +488,37 @@ def paragraph_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return markup.paragraph_chunks(table(spark, folder, "documents"), ["doc_id"], "text", 1500).select("doc_id", "chunk", "first", "last")
 
 
+@query("SELECT range AS doc_id, 3000 AS n FROM range(2000)")
+def synthetic_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of an exact length."""
+    return sources.synthetic_documents(spark, 2000, 3000).select("doc_id", F.length("html").alias("n"))
+
+
+@query("SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS n, true AS same FROM documents WHERE text <> ''")
+def section_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Paragraphs of the marked sections of a document, read back: as many as its lines, and the same."""
+    docs = table(spark, folder, "documents").where("text <> ''").select("doc_id", "text")
+    read = markup.sections(docs, ["doc_id"], "text").select("doc_id", F.explode(X.marked_paragraphs(F.col("section_text"))).alias("p"))
+    own = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("index", "line"))
+    joined = own.join(read.select("doc_id", "p.index", "p.text").distinct(), ["doc_id", "index"], "left")
+    same = F.coalesce(F.col("text") == X.stripped(F.col("line")), F.lit(False))
+    return joined.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_and(same).alias("same"))
+
+
+@query(
+    f"""
+    WITH c AS (SELECT article_id, v AS key, count(*)::INT AS n FROM (SELECT article_id, unnest({_found('original_text', P.INVARIANTS[0])}) AS v FROM {_BLOCKS}) GROUP BY ALL),
+         r AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY key) AS rn, count(*) OVER (PARTITION BY article_id) AS total FROM c)
+    SELECT article_id, key, n AS value FROM r WHERE rn <= 50 UNION ALL SELECT DISTINCT article_id, '__truncated__', (total - 50)::INT FROM r WHERE total > 50
+    """
+)
+def capped_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of an article's numbers, at most fifty and how many were left out; the cap is the feature."""
+    counts = relational.value_counts(blocks(spark, folder), ["article_id"], "original_text", P.INVARIANTS[:1])
+    maps = counts.groupBy("article_id").agg(F.map_from_entries(F.collect_list(F.struct("value", F.col("n").cast("int")))).alias("m"))
+    return maps.select("article_id", F.explode(X.capped_map(F.col("m"))).alias("key", "value"))
+
+
 # ---- order -----------------------------------------------------------------------------------
 
 
@@ -667,6 +698,16 @@ def html_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("article_id", "piece", F.length("piece_html").alias("n"), "error")
 
 
+@query(f"SELECT article_id, true AS same, true AS within FROM {_ARTICLES} WHERE html <> ''")
+def html_token_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks of the tokenised source: together they are it, and none is above 500 characters."""
+    rows = markup.with_global_tokens(articles(spark, folder).where("html <> ''").select("article_id", "html"), "html")
+    parts = markup.with_token_chunks(rows, ["article_id", "token_text"], "token_text", 500)
+    joined = parts.groupBy("article_id", "token_text").agg(F.array_sort(F.collect_list(F.struct("chunk", "chunk_text"))).alias("c"), F.max(F.length("chunk_text")).alias("n"))
+    whole = F.array_join(F.transform("c", lambda x: x["chunk_text"]), "")
+    return joined.select("article_id", (whole == F.col("token_text")).alias("same"), (F.col("n") <= 500).alias("within"))
+
+
 @query()
 def html_diffs(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "enriched_articles").select("article_id", "prompt_version", "original_html", "enriched_html")
@@ -702,6 +743,31 @@ def rewritten_nodes(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("article_id", "node_id", "changed", "needs_review", F.array_join("review_reasons", "; ").alias("review_reasons"))
 
 
+@query()
+def two_stage_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments of the articles rewritten as plain text and then with their tokens."""
+    segs = markup.token_segments(articles(spark, folder), ["article_id"], "html")
+    done = rewriting.two_stage(segs, rewriting.RuleRewriter(), rewriting.RuleRewriter())
+    return done.select("article_id", "seg_id", F.size("issues").alias("n_issues"), (F.col("revised_text") != F.col("text")).alias("changed"))
+
+
+@query()
+def harmonised_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents rewritten in pieces that are joined level by level."""
+    parts = markup.text_pieces(table(spark, folder, "documents"), ["doc_id"], "text", 600, 800)
+    done = rewriting.harmonised(parts, rewriting.RuleRewriter(), "doc_id", "piece", "piece_text", 2000)
+    return done.select("doc_id", F.length("piece_text").alias("n"))
+
+
+@query()
+def experiment_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Two rewriters over the same articles; the one that breaks facts falls back."""
+    docs = articles(spark, folder).where(F.col("html").isNotNull())
+    faulty = rewriting.FaultyRewriter(rewriting.RuleRewriter(), "number")
+    detail = enrich.experiment(spark, docs, {"A_rules": rewriting.RuleRewriter(), "B_faulty": faulty})
+    return relational.variant_summary(detail, "variant_id", "status", "elapsed_sec", "input_chars", ["changed", "invariants_ok"])
+
+
 def _claims(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     rows = blocks(spark, folder).where(F.col("status").startswith("rewritten")).withColumn("doc", F.concat_ws("|", "article_id", "block_id"))
     return tuple(claims.from_sentences(rows, "doc", c, F.col("tag")) for c in ("original_text", "rewritten_text"))
