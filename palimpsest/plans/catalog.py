@@ -75,6 +75,11 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "block_audit").dropDuplicates(BLOCK_KEY)
 
 
+def of_blocks(spark: SparkSession, folder: str, *columns) -> DataFrame:
+    """Columns worked out for each block: before repeated rows are dropped, so that no text is shuffled."""
+    return table(spark, folder, "block_audit").select(*BLOCK_KEY, *columns).dropDuplicates(BLOCK_KEY)
+
+
 _BLOCKS = "(SELECT article_id, block_id, any_value(original_text) AS original_text, any_value(rewritten_text) AS rewritten_text, any_value(status) AS status, any_value(tag) AS tag, any_value(source_system) AS source_system, any_value(heading) AS heading FROM block_audit GROUP BY article_id, block_id)"
 
 
@@ -228,7 +233,7 @@ _MISMATCH = ", ".join(
 def invariant_mismatches(spark: SparkSession, folder: str) -> DataFrame:
     """Kinds of facts whose multiset differs between a block and its rewrite."""
     kinds = relational.kind_mismatches(F.col("original_text"), F.col("rewritten_text"))
-    return blocks(spark, folder).select(*BLOCK_KEY, F.array_join(kinds, ",").alias("kinds"))
+    return of_blocks(spark, folder, F.array_join(kinds, ",").alias("kinds"))
 
 
 _NUM = P.INVARIANTS[0]
@@ -276,9 +281,10 @@ _RATIO = "length(trim(coalesce(rewritten_text, ''))) / greatest(length(trim(orig
     + _STRIP.format("rewritten_text") + " AS rewritten_text FROM node_results)"
 )
 def length_ratios(spark: SparkSession, folder: str) -> DataFrame:
-    nodes = table(spark, folder, "node_results").dropDuplicates(["article_id", "node_id"])
+    key = ["article_id", "node_id"]
     a, b = F.col("original_text"), F.col("rewritten_text")
-    return nodes.select("article_id", "node_id", F.round(X.length_ratio(a, b), 6).alias("ratio"), X.length_is_safe(a, b).alias("is_safe"))
+    rows = table(spark, folder, "node_results").select(*key, F.round(X.length_ratio(a, b), 6).alias("ratio"), X.length_is_safe(a, b).alias("is_safe"))
+    return rows.dropDuplicates(key)
 
 
 _T = "regexp_extract_all(coalesce({}, ''), '⟦/?(\\d+)⟧')"
@@ -294,7 +300,8 @@ def token_differences(spark: SparkSession, folder: str) -> DataFrame:
     """Inline tokens that a segment's revision lost, gained, repeated or moved."""
     found = relational.token_differences(F.col("original_text"), F.col("revised_text"))
     flat = {k: F.array_join(v, ",") if k in ("missing", "unexpected") else v for k, v in found.items()}
-    return segments(spark, folder).select("article_id", "seg_id", *(c.alias(k) for k, c in flat.items()))
+    rows = table(spark, folder, "segments").select("article_id", "seg_id", *(c.alias(k) for k, c in flat.items()))
+    return rows.dropDuplicates(["article_id", "seg_id"])
 
 
 @query()
@@ -336,7 +343,8 @@ def high_risk_documents(spark: SparkSession, folder: str) -> DataFrame:
     f"WHEN is_protected THEN 'protected' WHEN is_high_risk_block OR is_high_risk_content THEN 'high_risk' ELSE 'editable' END AS route FROM {_SEGMENTS}) GROUP BY ALL"
 )
 def segment_routes(spark: SparkSession, folder: str) -> DataFrame:
-    return relational.histogram(markup.routed(segments(spark, folder)), "article_id", "route")
+    rows = markup.routed(table(spark, folder, "segments")).select("article_id", "seg_id", "route").dropDuplicates(["article_id", "seg_id"])
+    return relational.histogram(rows, "article_id", "route")
 
 
 @query("SELECT status, coalesce(skip_reason, '') AS skip_reason, count(*) AS n FROM block_audit GROUP BY ALL")
@@ -353,7 +361,7 @@ def status_histogram(spark: SparkSession, folder: str) -> DataFrame:
 def freeze_reasons(spark: SparkSession, folder: str) -> DataFrame:
     """Why blocks stay as they are, by their text."""
     reason = predicates.freeze_reason(F.col("original_text"), F.array().cast("array<string>"), F.lit(False))
-    return relational.histogram(blocks(spark, folder).select("tag", reason.alias("reason")), "tag", "reason")
+    return relational.histogram(of_blocks(spark, folder, "tag", reason.alias("reason")), "tag", "reason")
 
 
 _STRINGS = "array_to_string(list_sort(list_distinct(flatten(list(coalesce({0}, []))))), ',') AS {1}"
@@ -601,7 +609,7 @@ def needs_polish(spark: SparkSession, folder: str) -> DataFrame:
 )
 def longest_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The three longest blocks of each article; the limit is the feature."""
-    rows = blocks(spark, folder).select(*BLOCK_KEY, F.length("original_text").alias("n"))
+    rows = of_blocks(spark, folder, F.length("original_text").alias("n"))
     return relational.top_per_group(rows, ["article_id"], [F.col("n").desc_nulls_last(), F.col("block_id")], 3)
 
 
