@@ -102,9 +102,9 @@ def term_counts(df: DataFrame, key: Sequence[str], text: str, terms: Sequence[st
     """key, term and n of the protected terms in a text: whole words, any white space between them."""
     pattern = lambda t: r"(?<!\w)" + r"\s+".join(rf"\Q{w}\E" for w in t.split()) + r"(?!\w)"
     kept = list(dict.fromkeys(t.strip() for t in terms if t.strip()))
-    counts = [F.struct(F.lit(t).alias("term"), F.regexp_count(F.col(text), F.lit("(?U)" + P.flagged(pattern(t), case))).alias("n")) for t in kept]
+    counts = [F.struct(F.lit(t).alias("term"), F.regexp_count(F.col(text), F.lit("(?U)" + P.flagged(pattern(t), case))).cast("bigint").alias("n")) for t in kept]
     if not counts:
-        return df.select(*key, F.lit("").alias("term"), F.lit(0).alias("n")).limit(0)
+        return df.select(*key, F.lit("").alias("term"), F.lit(0).cast("bigint").alias("n")).limit(0)
     each = df.select(*key, F.explode(F.array(*counts)).alias("c")).where("c.n > 0")
     return each.select(*key, "c.term", "c.n")
 

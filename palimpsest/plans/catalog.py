@@ -152,7 +152,7 @@ def pending_changed(spark: SparkSession, folder: str) -> DataFrame:
 def long_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Probed columns, null texts left out, texts from a length on."""
     docs = sources.probed(table(spark, folder, "documents"), "text", "doc_id", "collection")
-    return docs.where(F.length("html_text") >= P.MIN_DOCUMENT_CHARS).select("doc_id", "category", F.length("html_text").alias("n"))
+    return docs.where(F.length("html_text") >= P.MIN_DOCUMENT_CHARS).select("doc_id", "category", F.length("html_text").cast("bigint").alias("n"))
 
 
 @query(
@@ -418,7 +418,7 @@ def best_variant(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"SELECT prompt_version, status, count(*) AS n, max(length(enriched_html)) AS longest FROM enriched_articles WHERE prompt_version = '{VERSION}' GROUP BY ALL")
 def run_report(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "enriched_articles").where(F.col("prompt_version") == VERSION)
-    return rows.groupBy("prompt_version", "status").agg(F.count("*").alias("n"), F.max(F.length("enriched_html")).alias("longest"))
+    return rows.groupBy("prompt_version", "status").agg(F.count("*").alias("n"), F.max(F.length("enriched_html")).cast("bigint").alias("longest"))
 
 
 @query(
@@ -609,7 +609,7 @@ def needs_polish(spark: SparkSession, folder: str) -> DataFrame:
 )
 def longest_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The three longest blocks of each article; the limit is the feature."""
-    rows = of_blocks(spark, folder, F.length("original_text").alias("n"))
+    rows = of_blocks(spark, folder, F.length("original_text").cast("bigint").alias("n"))
     return relational.top_per_group(rows, ["article_id"], [F.col("n").desc_nulls_last(), F.col("block_id")], 3)
 
 
