@@ -121,14 +121,15 @@ def vocabulary(counted: DataFrame, labels: DataFrame, doc: list[str], level: str
     known = known.select(level, F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     total = [F.sum(F.when(F.col(level) == name, F.col("n")).otherwise(0)).alias(name) for name in LEVELS]
     each = known.groupBy("word").agg(*total).orderBy(F.desc(F.col("basic") + F.col("intermediate") + F.col("advanced")), "word")
-    each = each.limit(max_vocabulary)
-    sums = each.agg(*(F.greatest(F.sum(name), F.lit(1)).alias(f"all_{name}") for name in LEVELS))
-    rates = each.crossJoin(F.broadcast(sums)).select(  # one row of sums
+    each = stored(each.limit(max_vocabulary))
+    sums = each.agg(*(F.sum(name).alias(name) for name in LEVELS)).first()
+    all_of = {name: max(sums[name] or 0, 1) for name in LEVELS}
+    rates = each.select(
         "word",
-        ((F.col("basic") + F.col("intermediate")) / (F.col("all_basic") + F.col("all_intermediate"))).alias("plain"),
-        (F.col("advanced") / F.col("all_advanced")).alias("above_plain"),
-        (F.col("basic") / F.col("all_basic")).alias("basic"),
-        (F.col("intermediate") / F.col("all_intermediate")).alias("above_basic"),
+        ((F.col("basic") + F.col("intermediate")) / (all_of["basic"] + all_of["intermediate"])).alias("plain"),
+        (F.col("advanced") / all_of["advanced"]).alias("above_plain"),
+        (F.col("basic") / all_of["basic"]).alias("basic"),
+        (F.col("intermediate") / all_of["intermediate"]).alias("above_basic"),
     )
     own = lambda name: F.when(F.col(name) * STRAY_FACTOR >= F.col(f"above_{name}"), F.col(name)).otherwise(0.0)
     by = lambda name: F.row_number().over(Window.orderBy(own(name).desc(), F.col(name).desc(), "word"))
@@ -214,18 +215,12 @@ def levels(
     scored = coverage(counted, ranked, doc, ("sentences", "tokens")).withColumn("sentence_words", length)
     scored = stored(scored.withColumn("complexity", F.least(F.col("sentence_words"), F.lit(LONG_SENTENCE)) / LONG_SENTENCE))
     known = scored.join(labels.select(*doc, F.col(level).alias("level")).distinct(), doc)
-    high = threshold(known, "plain_coverage", F.col("level") == "advanced").select(
-        F.col("weight").alias("high_weight"), F.col("threshold").alias("high")
-    )
-    low = threshold(known.where("level <> 'advanced'"), "basic_coverage", F.col("level") == "intermediate").select(
-        F.col("weight").alias("low_weight"), F.col("threshold").alias("low")
-    )
-    cuts = high.join(low, F.lit(True), "full_outer")
-    judged = scored.join(F.broadcast(cuts), F.lit(True), "left")  # at most one row
-    is_high = F.col("plain_coverage") + F.col("high_weight") * F.col("complexity") > F.col("high")
-    is_middle = F.col("basic_coverage") + F.col("low_weight") * F.col("complexity") > F.col("low")
-    found = F.when(is_high, "advanced").when(is_middle, "intermediate").when(~is_middle & F.col("high").isNotNull(), "basic")
-    return judged.select(
+    high = threshold(known, "plain_coverage", F.col("level") == "advanced").first()
+    low = threshold(known.where("level <> 'advanced'"), "basic_coverage", F.col("level") == "intermediate").first()
+    above = lambda score, cut: F.col(score) + cut.weight * F.col("complexity") > cut.threshold if cut else F.lit(None).cast("boolean")
+    is_high, is_middle = above("plain_coverage", high), above("basic_coverage", low)
+    found = F.when(is_high, "advanced").when(is_middle, "intermediate").when(~is_middle & F.lit(high is not None), "basic")
+    return scored.select(
         *doc, F.round("plain_coverage", 6).alias("plain_coverage"), F.round("basic_coverage", 6).alias("basic_coverage"),
         F.round("sentence_words", 4).alias("sentence_words"), found.alias("reading_level"),
     )
