@@ -185,6 +185,30 @@ def test_near_copies_of_a_refusal_are_one_cluster(spark):
     assert {r.opening for r in pairs.refusal_openings(seen).collect()} == {d[0] for d in data[:3]}
 
 
+def test_lead_ins_are_stripped_one_after_another():
+    assert pairs.said("Revised text:\nNo revision was produced: I'm not able to work with it.") == "i m not able to work with it".split()
+    assert pairs.said("Note: 5 EUR: ") == ["5", "eur"]
+
+
+def test_refusals_that_do_not_recur(spark, model):
+    nouns, verbs = ["garden gate", "paper boat", "winter coat", "kitchen table", "yellow lamp"], ["opened", "carried", "cleaned", "painted", "mended", "counted"]
+    made = [f"The {n} has to be {v} within {i + j} days after it was sent to you by the team." for i, n in enumerate(nouns) for j, v in enumerate(verbs)]
+    data = [("k", i, p, made[(i + 7) % len(made)]) for i, p in enumerate(made)]
+    data += [("k", 50, made[0], "I cannot comply because this passage looks sensitive."), ("k", 51, made[1], "Revised text:\nNo revision was produced: I must decline to rephrase this paragraph.")]
+    data += [("k", 60, made[0], "Sehr geehrte Damen und Herren, wir prüfen das in den nächsten Tagen und melden uns."), ("k", 61, made[1], "The yellow lamp was sent to you.")]
+    german = ["Ihre Kontaktdaten können Sie jederzeit ändern und uns mitteilen.", "Ihre Adresse können Sie jederzeit ändern."]
+    data += [("k", 70 + i, t, t.replace("Sie", "sie gern")) for i, t in enumerate(german)] + [("k", 80 + i, made[7 * i], "Ihre Kontaktdaten können Sie jederzeit") for i in range(3)]
+    df = spark.createDataFrame(data, "article_id string, block_id int, p string, a string")
+    got = {r.block_id: r.defect for r in pairs.defects(df, model, ["article_id", "block_id"], "p", "a").collect()}
+    assert got == {50: "refusal", 51: "refusal", 60: "wrong_language", 80: "truncated", 81: "truncated", 82: "truncated"}
+
+
+def test_two_unrelated_prompts_make_a_refusal(spark):
+    data = [("i must decline to rephrase this", i, 0.0, 0.0) for i in range(2)] + [("only said once", 7, 0.0, 0.0)]
+    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double")
+    assert [r.opening for r in pairs.refusal_openings(seen).collect()] == ["i must decline to rephrase this"]
+
+
 # ---- 2 reading level -------------------------------------------------------------------------
 
 
