@@ -203,6 +203,17 @@ def test_refusals_that_do_not_recur(spark, model):
     assert got == {50: "refusal", 51: "refusal", 60: "wrong_language", 80: "truncated", 81: "truncated", 82: "truncated"}
 
 
+def test_openings_as_made_are_clustered_through_others(spark):
+    text = "I am sorry, but as an assistant I am not permitted to rewrite or change passages of this kind, so please ask a human {}."
+    made = [pairs.opening(pairs.said(text.format(w))) for w in ("today", "today or some day", "today or some day soon enough after")]
+    assert len(set(made)) == 3
+    ends = [set(pairs.shingles(o.split(" "))) for o in made]
+    assert len(ends[0] & ends[2]) / len(ends[0] | ends[2]) < pairs.SIMILARITY
+    data = [(o, i, 0.0, 0.0) for i, o in enumerate(made)] + [("a thing that is said only once and is not like any other", 9, 0.0, 0.0)]
+    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double")
+    assert {r.opening for r in pairs.refusal_openings(seen).collect()} == set(made)
+
+
 def test_two_unrelated_prompts_make_a_refusal(spark):
     data = [("i must decline to rephrase this", i, 0.0, 0.0) for i in range(2)] + [("only said once", 7, 0.0, 0.0)]
     seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double")
