@@ -52,7 +52,7 @@ def rewritten_values(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     values = rewritten_values(spark, folder)
-    copies = [(values, "original_text"), (values, "rewritten_text")]
+    copies = [(values, ["original_text", "rewritten_text"])]
     return truncation.cut_values(values, copies, ["item_table", "item_id"], "rewritten_text", "original_text")
 
 

@@ -1,12 +1,19 @@
-"""Problem 6: text cut off by field limits or in transfer, by prefix joins.
-
-A value breaks off if it has no closing mark at its end. Whether it was cut is then looked up: its
-whole text, or its last piece of a sentence, must be a strict prefix of a longer copy elsewhere in
-the texts of the tables, or of the other side of its own row. Values are compared with numbers and
-capitalised names masked, so that a sentence on another product or amount counts as a copy. The
-lookup is an equi-join on (length class, hash of the fixed-length prefix) after distinct pieces
-were taken, followed by the exact prefix test; a hot prefix holds distinct pieces only. Pieces are
-sentences and their clauses, since a sentence may be strung together from known parts.
+"""Problem 6: text cut off by field limits or in transfer, by a self-join of prefixes.
+
+A value was cut if the sentence it ends with is a strict prefix of a longer copy of that sentence
+elsewhere. All sentences of the texts are the copies, the last sentence of every value is what is
+asked for, with its closing mark: a complete sentence isn't a prefix of another one, as the mark
+stands where the other goes on. Copies and questions are put into one sorted order of distinct
+strings, where the copies that go on from a string stand right behind it, so each question is
+answered by its successor. Sorting has no buckets: a beginning that a third of all values have costs
+no more than others.
+
+A last sentence of fewer than ``MIN_PREFIX`` characters proves little alone and is looked up together
+with the end of the sentence before it. Sentences strung together are also asked for by their last
+clause. Numbers and capitalised names inside a sentence are masked on both sides, so that a sentence
+on another product or amount is a copy; a number that ends in its point is itself asked for among the
+numbers that go on behind one. What the join finds is then checked against the value's
+counterpart, which tells items that end without a mark by nature.
 """
 
 from __future__ import annotations
@@ -14,26 +21,28 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.session import cut
+from palimpsest.session import stored
 
-#: Lengths of the prefixes that are hashed; a piece is looked up by the longest that fits into it.
-CLASSES = (1, 2, 3, 4, 8, 16, 32, 64)
-#: Up to this length a piece is itself the prefix looked up, so distinct prefixes are enough.
-EXACT = 3
+#: A string of fewer characters is looked up with so many characters of the sentence before it.
+MIN_PREFIX = 16
+CONTEXT = 16
 
 # What closes a sentence, what may stand behind it, what only wraps a text.
 CLOSING = ".!?…。！？"
-BEHIND = "\"'”’»)]}` \t\r\n ​‌‍⁠﻿"
+BEHIND = "\"'”’»)]}` \t\r\n ​‌‍⁠﻿"
+AROUND = BEHIND + "-—–/|•"
 
 _NUMBER = re.compile(r"\d(?:[\d.,]*\d)?")
 _NAME = re.compile(r"(?<=[^\W\d_][ ,\-])[A-ZÀ-ÖØ-Þ][^\W\d_]*")
-_SPACE = re.compile(r"\s+")
+_BLANKS = re.compile(r"[^\S\n]+")
 _ENDS = re.compile(r"(?<=[.!?…。！？])[\"'”’»)]*\s+|(?<=[。！？])|\n+")
 _CLAUSES = re.compile(r"[,;:] (?:(?:and|und|en|et|y) )?(?:so |then )*|(?<=[^ ]) (?:and|und|en|et|y) (?:so |then )*")
+_DECIMAL = re.compile(r"\d+(?:[.,]\d+)+")
 _LAST_NUMBER = re.compile(r"\d[\d.,]*[.,]$")
+_DOTS = re.compile(r"(?:\.{3,}|…)$")
 
 
 def bare_end(text: Column) -> Column:
@@ -52,27 +61,43 @@ def has_word(text: Column) -> Column:
     return F.regexp_replace(text, r"<[^>]*>|&#?\w+;|```\w*", "").rlike(r"[\p{L}\p{N}]")
 
 
-def masked(piece: str) -> str:
-    """Numbers and capitalised names inside a piece as one sign each, white space as one blank, lower case."""
-    piece = _NUMBER.sub("#", _SPACE.sub(" ", piece).strip())
-    return _NAME.sub("^", piece).lower()
+def sentences(text: str) -> list[str]:
+    """The sentences and lines of a text, numbers and names masked, in lower case, without what wraps them and without
+    dots that stand for what follows."""
+    text = _NAME.sub("^", _NUMBER.sub("#", _BLANKS.sub(" ", text))).lower()
+    found = (_DOTS.sub("", p.strip(AROUND)) for p in _ENDS.split(text))
+    return [p for p in found if p]
 
 
-def sentences(text: str) -> list[str]:
-    return [p for p in _ENDS.split(text) if p and p.strip()]
+def in_context(before: str, sentence: str) -> str:
+    """A sentence's start with the end of the sentence before it."""
+    return before[-CONTEXT:] + "\n" + sentence[: MIN_PREFIX + 1]
+
+
+def copies_of(text: str) -> set[str]:
+    """What a text can prove: its sentences, their starts with the end of the one before, and its decimal numbers."""
+    found = sentences(text)
+    return {*found, *map(in_context, ["", *found], found), *("#" + n for n in _DECIMAL.findall(text))}
 
 
-def pieces_of(sentence: str) -> list[str]:
-    """The masked sentence and its masked clauses."""
-    whole = masked(sentence.strip(BEHIND + "-—–/|•"))
-    return [p for p in dict.fromkeys([whole, *_CLAUSES.split(whole)]) if p]
+def asked_of(text: str, number_cut: bool) -> list[str]:
+    """What a value is asked for by: its last sentence, or where that is short its start in context; its last clause; the
+    number it is cut in."""
+    end = _DOTS.sub("", text.rstrip(BEHIND))
+    if number_cut:
+        return ["#" + _LAST_NUMBER.search(end)[0]]
+    found = sentences(end.rstrip(",;: "))
+    if not found:
+        return []
+    last = found[-1]
+    if len(last) < MIN_PREFIX:
+        return [in_context(found[-2] if len(found) > 1 else "", last)]
+    clause = _CLAUSES.split(last)[-1]
+    return [last, clause] if clause != last and len(clause) >= MIN_PREFIX else [last]
 
 
-def last_pieces(text: str) -> list[str]:
-    """The sentence and the clause a text breaks off in."""
-    parts = sentences(text.rstrip(BEHIND + ",;:"))
-    found = pieces_of(parts[-1]) if parts else []
-    return [found[0], found[-1]] if len(found) > 1 else found
+def ends_in_dots(text: str) -> bool:
+    return bool(_DOTS.search(text.rstrip(BEHIND)))
 
 
 def number_goes_on(text: str, other: str | None) -> bool:
@@ -85,95 +110,88 @@ def number_goes_on(text: str, other: str | None) -> bool:
     return bool(re.search(rf"(?<![\d.,]){at}\d", other)) and not re.search(rf"(?<![\d.,]){whole}(?![\d]|[.,]\d)", other)
 
 
-def _pieces(df: DataFrame, text: str) -> DataFrame:
-    """Distinct masked sentences and clauses of the texts."""
+def _copies(texts: DataFrame) -> DataFrame:
+    """string: what the texts of the only column can prove; many times each."""
 
     def run(batches):
         for batch in batches:
             out: set[str] = set()
             for t in batch.column(0).to_pylist():
-                for p in sentences(t):
-                    out.update(pieces_of(p))
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string())], ["piece"])
+                out |= copies_of(t)
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string())], ["string"])
 
-    return df.where(F.col(text).isNotNull()).select(F.col(text)).mapInArrow(run, "piece string").distinct()
+    return texts.mapInArrow(run, "string string")
 
 
-def _classed(piece: Column) -> Column:
-    """The longest prefix class that fits into a piece."""
-    out = F.lit(0)
-    for size in CLASSES:
-        out = F.when(F.length(piece) >= size, F.lit(size)).otherwise(out)
-    return out
+def going_on(copies: DataFrame, asked: DataFrame) -> DataFrame:
+    """string: those asked for that are strict prefixes of a longer string of either table.
 
+    Distinct strings lie in sorted range partitions; a string's longer copies are right behind it, so
+    the next string decides. The last string of a partition is decided by the first one of the next,
+    from a table of one row for each partition.
+    """
+    both = copies.select("string", F.lit(False).alias("asked")).unionByName(asked.select("string", F.lit(True).alias("asked")))
+    every = stored(both.groupBy("string").agg(F.max("asked").alias("asked")))
+    ordered = every.repartitionByRange("string").sortWithinPartitions("string")
 
-def cut_values(values: DataFrame, copies: list[tuple[DataFrame, str]], keys: list[str], text: str, other: str) -> DataFrame:
+    def run(batches):
+        first = last = None
+        for batch in batches:
+            found = []
+            for string, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+                if first is None:
+                    first = string
+                if last is not None and string.startswith(last):
+                    found.append(last)
+                last = string if wanted else None
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.nulls(len(found), pa.string())], ["string", "first"])
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([last], pa.string()), pa.array([first], pa.string())], ["string", "first"])
+
+    seen = stored(ordered.mapInArrow(run, "string string, first string"))
+    edges = seen.where("first is not null").withColumn("next", F.lead("first").over(Window.orderBy("first")))
+    return seen.where("first is null").select("string").unionByName(edges.where(F.col("next").startswith(F.col("string"))).select("string"))
+
+
+def cut_values(values: DataFrame, copies: list[tuple[DataFrame, list[str]]], keys: list[str], text: str, other: str) -> DataFrame:
     """keys of the rows of values whose text was cut.
 
-    ``other`` is the column with the text's counterpart, which shows whether the item is one that
-    ends without a mark by nature; ``copies`` are (table, column) pairs in which longer copies are
-    sought. A text that ends without a mark is a case if its counterpart ends with one, or is a
-    strictly longer copy of it, and the piece it breaks off in goes on in a longer copy. A text
-    that seems to end well but whose last number goes on in its counterpart is a case as well.
-    Null texts and texts without a word are none; rows with equal keys give one row; ties cannot arise.
+    ``other`` is the column with the text's counterpart; ``copies`` are tables and their columns in
+    which longer copies are sought. A case is a text whose last sentence or clause is, by the join, a
+    strict prefix of a longer copy, and which, as an exact check, ends without a closing mark, with
+    dots, or inside a number that goes on in its counterpart; it is none if its counterpart ends
+    without a mark too and isn't itself a longer copy. Null texts and texts without a word are none;
+    rows with equal keys give one row; ties cannot arise; empty tables give an empty result.
     """
-    ends = breaks_off(F.col(text))
     bare, own = F.rtrim(F.col(text)), F.rtrim(F.col(other))
-    longer = own.startswith(bare) & (F.length(own) > F.length(bare))
-    by_nature = F.coalesce(breaks_off(F.col(other)) & ~longer, F.lit(False))
-    open_end = F.coalesce(ends & ~by_nature, F.lit(False))
-    at_number = F.right(F.rtrim(F.col(text), F.lit(" \t\r\n")), F.lit(2)).rlike(r"^\d[.,]$")
-    name, beside = "__text__", "__other__"
-    open_values = values.where((open_end | at_number) & has_word(F.col(text))).select(
-        *keys, F.col(text).alias(name), F.col(other).alias(beside), open_end.alias("__open__"), F.coalesce(longer, F.lit(False)).alias("__own__")
+    longer = F.coalesce(own.startswith(bare) & (F.length(own) > F.length(bare)), F.lit(False))
+    by_nature = F.coalesce(breaks_off(F.col(other)), F.lit(False)) & ~longer
+    looked_at = values.where(has_word(F.col(text))).select(
+        *keys, F.col(text).alias("__text__"), F.col(other).alias("__other__"), (breaks_off(F.col(text)) & ~by_nature).alias("__open__"), by_nature.alias("__nature__")
     )
 
     def run(batches):
         for batch in batches:
-            rows = batch.to_pydict()
-            last, sure, keep = [], [], []
-            for i, t in enumerate(rows[name]):
-                if rows["__open__"][i]:
-                    keep.append(i)
-                    last.append(last_pieces(t))
-                    sure.append(rows["__own__"][i])
-                elif number_goes_on(t, rows[beside][i]):
-                    keep.append(i)
-                    last.append([])
-                    sure.append(True)
-            part = batch.take(pa.array(keep, pa.int64()))
-            columns = [part.column(part.schema.get_field_index(k)) for k in keys]
+            at = batch.schema.get_field_index
+            rows = [batch.column(at(c)).to_pylist() for c in ("__text__", "__other__", "__open__", "__nature__")]
+            strings, case = [], []
+            for t, o, open_end, nature in zip(*rows):
+                number_cut = not open_end and number_goes_on(t, o)
+                strings.append(asked_of(t, number_cut))
+                case.append(open_end or number_cut or (ends_in_dots(t) and not nature))
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sure, pa.bool_()), pa.array(last, pa.list_(pa.string()))], [*keys, "__own__", "__last__"]
+                [*(batch.column(at(k)) for k in keys), pa.array(case, pa.bool_()), pa.array(strings, pa.list_(pa.string()))], [*keys, "__case__", "__asked__"]
             )
 
-    kinds = dict(open_values.dtypes)
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, "__own__"]) + ", `__last__` array<string>"
-    lasts = cut(open_values.mapInArrow(run, schema))
-    pieces = None
-    for df, column in copies:
-        each = df.select(F.col(column).alias("t"))
-        pieces = each if pieces is None else pieces.unionByName(each)
-    pieces = _pieces(pieces, "t")
-    size = F.explode(F.array(*(F.lit(c) for c in CLASSES)))
-    prefixes = pieces.select("piece", size.alias("__size__")).where(F.length("piece") > F.col("__size__"))
-    head = F.expr("substring(piece, 1, __size__)")
-    prefixes = prefixes.select(
-        "__size__", F.xxhash64(head).alias("__hash__"), F.when(F.col("__size__") <= EXACT, head).otherwise(F.col("piece")).alias("piece")
-    ).distinct()
-    asked = lasts.select(*keys, F.explode("__last__").alias("__piece__"))
-    asked = asked.withColumn("__size__", _classed(F.col("__piece__"))).withColumn(
-        "__hash__", F.xxhash64(F.expr("substring(__piece__, 1, __size__)"))
-    )
-    found = asked.join(
-        prefixes,
-        (asked["__size__"] == prefixes["__size__"])
-        & (asked["__hash__"] == prefixes["__hash__"])
-        & prefixes["piece"].startswith(asked["__piece__"])
-        & ((F.length(prefixes["piece"]) > F.length(asked["__piece__"])) | (asked["__size__"] <= EXACT)),
-        "left_semi",
-    ).select(*keys)
-    return found.unionByName(lasts.where("__own__").select(*keys)).distinct()
+    kinds = dict(looked_at.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", `__case__` boolean, `__asked__` array<string>"
+    asked = stored(looked_at.mapInArrow(run, schema)).select(*keys, "__case__", F.explode("__asked__").alias("string"))
+    texts = None
+    for df, columns in copies:
+        each = df.select(F.explode(F.array(*columns)).alias("t")).where("t is not null")
+        texts = each if texts is None else texts.unionByName(each)
+    proven = going_on(_copies(texts), asked)
+    return asked.join(proven, "string", "left_semi").where("__case__").select(*keys).distinct()
 
 
 def shares(values: DataFrame, cut: DataFrame, keys: list[str], text: str, source: str) -> DataFrame:

@@ -379,23 +379,49 @@ def test_cut_values(spark):
         ("kept", "Title of the page goes on", "Title of the page goe"),
         ("null", "x", None), ("empty", "x.", ""), ("tags", "x y.", "<p></p>"), ("dots", "This also holds for cards and so on…", "This also holds for cards and so on…"),
         ("full", "A text of the full length that ends. Ref. XYZ.", "A text of the full length that ends. Ref. XYZ."),
+        ("marked", "The card is sent to you within five days.", "Well. The card is sent to y..."), ("unproven", "Something else is here.", "Never seen elsewhe"),
     ]
-    df = spark.createDataFrame([*data, data[1]], "k string, o string, r string").withColumn("piece", F.lit(0))
-    got = truncation.cut_values(df, [(df, "o"), (df, "r")], ["k"], "r", "o")
-    assert rows(got) == [("edge",), ("kept",), ("number",), ("word",)]
+    df = spark.createDataFrame([*data, data[1]], "k string, o string, r string").withColumn("string", F.lit(0))
+    got = truncation.cut_values(df, [(df, ["o", "r"])], ["k"], "r", "o")
+    assert rows(got) == [("edge",), ("kept",), ("marked",), ("number",), ("word",)]
     share = truncation.shares(df.withColumn("s", F.when(F.col("k") == "word", F.lit(None)).otherwise("x")), got, ["k"], "r", "s")
-    assert {r.s: (r["items"], r.cut) for r in share.collect()} == {None: (1, 1), "x": (10, 3)}
-    assert truncation.cut_values(df.limit(0), [(df.limit(0), "o")], ["k"], "r", "o").count() == 0
+    assert {r.s: (r["items"], r.cut) for r in share.collect()} == {None: (1, 1), "x": (12, 4)}
+    assert truncation.cut_values(df.limit(0), [(df.limit(0), ["o"])], ["k"], "r", "o").count() == 0
 
 
 def test_strict_prefixes_by_brute_force(spark):
     rnd = random.Random(7)
-    texts = ["".join(rnd.choice("ab ") for _ in range(rnd.randint(1, 40))).strip() + rnd.choice(["", ".", "!"]) for _ in range(400)]
+    texts = ["".join(rnd.choice("ab ") for _ in range(rnd.randint(1, 40))).strip() + rnd.choice(["", ".", "!", ". b", ". ab"]) for _ in range(400)]
     df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "k int, r string, o string")
-    got = {r.k for r in truncation.cut_values(df, [(df, "r")], ["k"], "r", "o").collect()}
-    pieces = {p for t in texts for s in truncation.sentences(t) for p in truncation.pieces_of(s)}
-    ends = {i: truncation.last_pieces(t) for i, t in enumerate(texts) if t.strip() and t.rstrip(truncation.BEHIND)[-1:] not in truncation.CLOSING and re.search(r"\w", t)}
-    assert got == {i for i, ls in ends.items() if any(p.startswith(last) and len(p) > len(last) for last in ls for p in pieces)}
+    got = {r.k for r in truncation.cut_values(df, [(df, ["r"])], ["k"], "r", "o").collect()}
+    copies = {c for t in texts for c in truncation.copies_of(t)}
+    open_end = {i: t for i, t in enumerate(texts) if t.rstrip(truncation.BEHIND)[-1:] not in truncation.CLOSING and re.search(r"\w", t)}
+    every = copies | {a for t in texts for a in truncation.asked_of(t, False)}
+    assert got == {i for i, t in open_end.items() if any(c.startswith(a) and len(c) > len(a) for a in truncation.asked_of(t, False) for c in every)}
+
+
+def test_sorted_successors_across_partitions(spark):
+    """Strings that all begin alike, in more partitions than one, and some asked for at the ends of partitions."""
+    rnd = random.Random(11)
+    have = ["the rate " + "".join(rnd.choice("abc") for _ in range(rnd.randint(0, 6))) for _ in range(2000)]
+    asked = rnd.sample(have, 300) + ["the r", "the rate z", "zz"]
+    a, b = (spark.createDataFrame([(x,) for x in xs], "string string") for xs in (have, asked))
+    for parts in ("1", "7", "64"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = {r.string for r in truncation.going_on(a, b).collect()}
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert got == {x for x in asked if any(h.startswith(x) and h != x for h in [*have, *asked])}
+
+
+def test_the_join_rejects_open_ends_without_a_longer_copy(spark):
+    """The punctuation alone would take all of them."""
+    data = [(i, f"A sentence about matter {w} that is complete.", f"A closing word that nobody wrote {w}") for i, w in enumerate(("oak", "elm", "ash"))]
+    df = spark.createDataFrame([*data, (9, "A sentence about matter oak that is complete.", "A sentence about matter oak that is com")], "k int, o string, r string")
+    assert rows(truncation.cut_values(df, [(df, ["o", "r"])], ["k"], "r", "o")) == [(9,)]
 
 
 # ---- 7 encoding ------------------------------------------------------------------------------
