@@ -29,18 +29,20 @@ from palimpsest.session import stored
 #: A string of fewer characters is looked up with so many characters of the sentence before it.
 MIN_PREFIX = 16
 CONTEXT = 16
+#: Characters at the end of a text in which its last two sentences are sought first.
+TAIL = 256
 
 # What closes a sentence, what may stand behind it, what only wraps a text.
 CLOSING = ".!?…。！？"
 BEHIND = "\"'”’»)]}` \t\r\n ​‌‍⁠﻿"
 AROUND = BEHIND + "-—–/|•"
 
-_NUMBER = re.compile(r"\d(?:[\d.,]*\d)?")
-_NAME = re.compile(r"(?<=[^\W\d_][ ,\-])[A-ZÀ-ÖØ-Þ][^\W\d_]*")
-_BLANKS = re.compile(r"[^\S\n]+")
-_ENDS = re.compile(r"(?<=[.!?…。！？])[\"'”’»)]*\s+|(?<=[。！？])|\n+")
+_NUMBER = re.compile(r"[0-9](?:[0-9.,]*[0-9])?")
+_NAME = re.compile(r"([ ,\-])(?<=[^\W\d_].)[A-ZÀ-ÖØ-Þ][^\W\d_]*")
+_SPACES = "\t\r\x0b\x0c\xa0\u2007\u2009\u202f\u3000"
+_ENDS = re.compile(r"[.!?…][\"'”’»)]*\s+|[。！？][\"'”’»)]*\s*")
 _CLAUSES = re.compile(r"[,;:] (?:(?:and|und|en|et|y) )?(?:so |then )*|(?<=[^ ]) (?:and|und|en|et|y) (?:so |then )*")
-_DECIMAL = re.compile(r"\d+(?:[.,]\d+)+")
+_DECIMAL = re.compile(r"[0-9]+(?:[.,][0-9]+)+")
 _LAST_NUMBER = re.compile(r"\d[\d.,]*[.,]$")
 _DOTS = re.compile(r"(?:\.{3,}|…)$")
 
@@ -64,9 +66,24 @@ def has_word(text: Column) -> Column:
 def sentences(text: str) -> list[str]:
     """The sentences and lines of a text, numbers and names masked, in lower case, without what wraps them and without
     dots that stand for what follows."""
-    text = _NAME.sub("^", _NUMBER.sub("#", _BLANKS.sub(" ", text))).lower()
-    found = (_DOTS.sub("", p.strip(AROUND)) for p in _ENDS.split(text))
-    return [p for p in found if p]
+    for space in _SPACES:
+        if space in text:
+            text = text.replace(space, " ")
+    while "  " in text:
+        text = text.replace("  ", " ")
+    text = _ENDS.sub(r"\g<0>\n", _NAME.sub(r"\1^", _NUMBER.sub("#", text))).lower()
+    found = [p.strip(AROUND) for p in text.split("\n")]
+    return [_DOTS.sub("", p) if p[-1] in "…." else p for p in found if p]
+
+
+def last_sentences(text: str) -> list[str]:
+    """The last two sentences, or fewer; what stands before them isn't looked at."""
+    size = TAIL
+    while size < len(text):
+        if len(found := sentences(text[-size:])) > 2:
+            return found[-2:]
+        size *= 4
+    return sentences(text)[-2:]
 
 
 def in_context(before: str, sentence: str) -> str:
@@ -86,7 +103,7 @@ def asked_of(text: str, number_cut: bool) -> list[str]:
     end = _DOTS.sub("", text.rstrip(BEHIND))
     if number_cut:
         return ["#" + _LAST_NUMBER.search(end)[0]]
-    found = sentences(end.rstrip(",;: "))
+    found = last_sentences(end.rstrip(",;: "))
     if not found:
         return []
     last = found[-1]
@@ -116,7 +133,7 @@ def _copies(texts: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             out: set[str] = set()
-            for t in batch.column(0).to_pylist():
+            for t in set(batch.column(0).to_pylist()):
                 out |= copies_of(t)
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string())], ["string"])
 
