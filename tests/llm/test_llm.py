@@ -149,6 +149,8 @@ def test_no_copies(prompt, answer):
         ("He said “yes”.", "He says “yes.”", False),
         ("A whole sentence.", "", False),
         (None, "Breaks off in the mid", True),
+        ("A whole sentence.", "A whole sent...", True),
+        ("A whole sentence…", "A whole one...", False),
     ],
 )
 def test_truncated_answers(prompt, answer, cut):
@@ -179,9 +181,9 @@ def test_defects(spark, model):
 
 def test_near_copies_of_a_refusal_are_one_cluster(spark):
     long = "i am sorry but i am not able to help with that request {}"
-    data = [(long.format(w), 1000 + i, 0.1, 0.09) for i, w in enumerate(("today", "now", "here"))] + [("you pay # euro a month for the card", 5, 0.9, 0.1)] * 4
-    data += [("only asks for a tax statement now", 2000 + i, 0.1, 0.0) for i in range(5)]
-    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double")
+    data = [(long.format(w), 1000 + i, 0.1, 0.09, 9, 4) for i, w in enumerate(("today", "now", "here"))] + [("you pay # euro a month for the card", 5, 0.9, 0.1, 9, 0)] * 4
+    data += [("only asks for a tax statement now", 2000 + i, 0.1, 0.0, 9, 4) for i in range(5)] + [("plain words that prompts have too", 3000 + i, 0.0, 0.1, 9, 0) for i in range(5)]
+    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double, said int, novel int")
     assert {r.opening for r in pairs.refusal_openings(seen).collect()} == {d[0] for d in data[:3]}
 
 
@@ -203,20 +205,53 @@ def test_refusals_that_do_not_recur(spark, model):
     assert got == {50: "refusal", 51: "refusal", 60: "wrong_language", 80: "truncated", 81: "truncated", 82: "truncated"}
 
 
-def test_openings_as_made_are_clustered_through_others(spark):
+def test_openings_as_made_are_clustered_through_others(spark, monkeypatch):
     text = "I am sorry, but as an assistant I am not permitted to rewrite or change passages of this kind, so please ask a human {}."
     made = [pairs.opening(pairs.said(text.format(w))) for w in ("today", "today or some day", "today or some day soon enough after")]
     assert len(set(made)) == 3
     ends = [set(pairs.shingles(o.split(" "))) for o in made]
     assert len(ends[0] & ends[2]) / len(ends[0] | ends[2]) < pairs.SIMILARITY
-    data = [(o, i, 0.0, 0.0) for i, o in enumerate(made)] + [("a thing that is said only once and is not like any other", 9, 0.0, 0.0)]
-    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double")
+    data = [(o, i, 0.0, 0.0, 9, 4) for i, o in enumerate(made)] + [("a thing that is said only once and is not like any other", 9, 0.0, 0.0, 9, 4)]
+    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double, said int, novel int")
     assert {r.opening for r in pairs.refusal_openings(seen).collect()} == set(made)
+    monkeypatch.setattr(pairs, "SIMILARITY", 1.01)  # without links none of them recurs
+    assert pairs.refusal_openings(seen).count() == 0
+
+
+def test_clusters_against_brute_force(spark):
+    """Links of near copies of many templates, most of them in one bucket or another with others: pairs in one component."""
+    rnd = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(60)]
+    made: set[str] = set()
+    for _ in range(25):
+        told = rnd.choices(vocabulary, k=rnd.randint(25, 40))
+        for _ in range(12):
+            copy = list(told)
+            for _ in range(rnd.randint(0, 3)):
+                copy[rnd.choice((rnd.randrange(len(copy)), len(copy) - 1))] = rnd.choice(vocabulary)
+            made.add(" ".join(copy))
+    openings = sorted(made)
+    sets = [set(pairs.shingles(o.split(" "))) for o in openings]
+    label = list(range(len(openings)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= pairs.SIMILARITY * len(a | sets[j]):
+                label[root(i)] = root(j)
+    want = {(i, j) for i in range(len(openings)) for j in range(i) if root(i) == root(j)}
+    found = {r.opening: r.head for r in pairs.opening_clusters(spark.createDataFrame([(o,) for o in openings], "opening string")).collect()}
+    got = {(i, j) for i in range(len(openings)) for j in range(i) if openings[i] in found and found.get(openings[i]) == found.get(openings[j])}
+    assert got <= want and len(want) > 100 and len(got) >= 0.9 * len(want)
 
 
 def test_two_unrelated_prompts_make_a_refusal(spark):
-    data = [("i must decline to rephrase this", i, 0.0, 0.0) for i in range(2)] + [("only said once", 7, 0.0, 0.0)]
-    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double")
+    data = [("i must decline to rephrase this", i, 0.0, 0.0, 9, 4) for i in range(2)] + [("only said once", 7, 0.0, 0.0, 9, 4)]
+    seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double, said int, novel int")
     assert [r.opening for r in pairs.refusal_openings(seen).collect()] == ["i must decline to rephrase this"]
 
 
