@@ -5,8 +5,9 @@ digits. Every document's q-grams are looked up among the items' q-grams; a share
 the diagonal document position - item position. By the q-gram lemma a passage of length L with at
 most k edits shares at least L + 1 - q - k * q q-grams with its item, all within k diagonals of each
 other, so the shared q-grams are counted in overlapping bands of diagonals and only bands that meet
-the bound are aligned, in a band around them. A case must then hold ``min_words`` consecutive words
-of the item without an edit.
+the bound are aligned, in a band around them. The alignment decides: a case must hold, on a diagonal
+of the band, ``min_words`` consecutive words of the item without an edit; all of the band is looked
+at, so a longer but poorer stretch doesn't hide a whole one.
 
 The items are a stated query set: they are sent to the executors in blocks of at most
 ``block_chars`` characters, and each block is held against all documents.
@@ -66,8 +67,12 @@ class Index:
     """q-grams of a block of items with their postings, and what verification needs."""
 
     ids: list
-    words: list[list[str]]
     text: list[str]
+    #: For each letter of an item the number of the word that ends with it, or -1, and of the first word from it on.
+    ends: list[np.ndarray]
+    next_word: list[np.ndarray]
+    #: Letters of the shortest run of words that is a case, and the q-grams that a band must share.
+    shortest: np.ndarray
     bound: np.ndarray
     keys: np.ndarray
     first: np.ndarray
@@ -81,6 +86,13 @@ class Index:
         text = ["".join(w) for w in words]
         shortest = [min(sum(map(len, w[a : a + min_words])) for a in range(len(w) - min_words + 1)) for w in words]
         bound = np.array([max(1, s + 1 - Q - edits * Q) for s in shortest], np.int64)
+        ends, next_word = [], []
+        for w in words:
+            stops = np.cumsum([len(x) for x in w])
+            end = np.full(stops[-1], -1, np.int32)
+            end[stops - 1] = np.arange(len(w))
+            ends.append(end)
+            next_word.append(np.searchsorted(np.r_[0, stops[:-1]], np.arange(stops[-1])).astype(np.int32))
         hashes, items, at = [], [], []
         for n, t in enumerate(text):
             h = _hashes(_cps([t])[0][:-1])
@@ -91,7 +103,7 @@ class Index:
         order = np.argsort(every, kind="stable")
         keys, first = np.unique(every[order], return_index=True)
         return Index(
-            [i for i, _ in kept], words, text, bound, keys, np.r_[first, len(every)].astype(np.int64),
+            [i for i, _ in kept], text, ends, next_word, np.array(shortest, np.int64), bound, keys, np.r_[first, len(every)].astype(np.int64),
             (np.concatenate(items) if items else np.zeros(0, np.int64))[order],
             (np.concatenate(at) if at else np.zeros(0, np.int64))[order],
         )
@@ -115,23 +127,34 @@ def regions(index: Index, bloom: np.ndarray, texts: list[str], edits: int) -> li
     if not len(at):
         return []
     n = index.first[where + 1] - index.first[where]
-    src = np.repeat(np.arange(len(at)), n)
-    k = index.first[where][src] + np.arange(len(src)) - np.repeat(np.cumsum(n) - n, n)
-    item, pos = index.posting_item[k], at[src]
-    text = np.searchsorted(starts, pos, "right") - 1
-    diagonal = pos - starts[text] - index.posting_at[k] + (1 << 16)
     width = 2 * (edits + 1)
-    found = []
-    for shift in (0, edits + 1):
-        band = (diagonal + shift) // width
-        order = np.lexsort((band, item, text))
-        t, i, b = text[order], item[order], band[order]
-        edge = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])])
-        size = np.diff(np.r_[edge, len(order)])
-        good = edge[size >= index.bound[i[edge]]]
-        found += [(int(t[g]), int(i[g]), int(b[g]) * width - shift + width // 2 - (1 << 16)) for g in good]
+    # a q-gram that many items have is no limit: pairs are counted in slices, each text, item and band is summed after
+    upto = np.cumsum(n)
+    low = max(map(len, index.text))
+    bits = int((len(cps) + low + width) // width + 1).bit_length()
+    counted: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+    begin = 0
+    while begin < len(at):
+        stop = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + SLICE_PAIRS)))
+        some = slice(begin, stop)
+        src = np.repeat(np.arange(begin, stop), n[some])
+        k = index.first[where[src]] + np.arange(len(src)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+        pos = at[src]
+        text = np.searchsorted(starts, pos, "right") - 1
+        pair = (text * len(index.ids) + index.posting_item[k]) << bits
+        diagonal = pos - starts[text] - index.posting_at[k] + low
+        for out, shift in zip(counted, (0, edits + 1)):
+            out.append(np.unique(pair | ((diagonal + shift) // width), return_counts=True))
+        begin = stop
+    found = set()
+    for parts, shift in zip(counted, (0, edits + 1)):
+        keys, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        size = np.bincount(back, np.concatenate([p[1] for p in parts]))
+        pair, band = keys >> bits, keys & ((1 << bits) - 1)
+        good = np.flatnonzero(size >= index.bound[pair % len(index.ids)])
+        found |= set(zip((pair[good] // len(index.ids)).tolist(), (pair[good] % len(index.ids)).tolist(), (band[good] * width - shift + width // 2 - low).tolist()))
     out: list[tuple[int, int, int]] = []
-    for t, i, d in sorted(set(found)):
+    for t, i, d in sorted(found):
         if not out or out[-1][:2] != (t, i) or d - out[-1][2] > edits + 1:
             out.append((t, i, d))
     return out
@@ -139,49 +162,46 @@ def regions(index: Index, bloom: np.ndarray, texts: list[str], edits: int) -> li
 
 #: Regions aligned at once.
 ALIGNED = 2048
+#: Pairs of a text's and an item's q-gram that are held at once.
+SLICE_PAIRS = 4_000_000
 
 
-def aligned(items: list[str], texts: list[str], diagonals: list[int], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best local alignments in the bands around the diagonals: their scores, where they start at the earliest and
-    where they end in their texts. A letter kept counts 1, an edit -2. All are worked out side by side."""
+def aligned(index: Index, items: list[int], texts: list[str], diagonals: list[int], edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Banded alignments of items with texts around the diagonals, all side by side: the best local score of each and
+    the most consecutive words of the item that it holds without an edit. A letter kept counts 1, an edit -2."""
     half = 3 * (edits + 1)
     width = 2 * half + 1
-    lens = np.array(list(map(len, items)))
+    lens = np.array([len(index.text[i]) for i in items])
     lo = np.array(diagonals) - half
-    a = np.zeros((len(items), lens.max()), np.uint32)
-    padded = np.full((len(items), lens.max() + width), 0xFFFFFFFF, np.uint32)
-    for r, (item, text) in enumerate(zip(items, texts)):
-        a[r, : lens[r]] = np.frombuffer(item.encode("utf-32-le", "surrogatepass"), np.uint32)
+    shape = (len(items), int(lens.max()))
+    a = np.zeros(shape, np.uint32)
+    ends, next_word = np.full(shape, -1, np.int32), np.zeros(shape, np.int32)
+    padded = np.full((len(items), shape[1] + width), 0xFFFFFFFF, np.uint32)
+    for r, (i, text) in enumerate(zip(items, texts)):
+        n = lens[r]
+        a[r, :n] = np.frombuffer(index.text[i].encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends[r, :n], next_word[r, :n] = index.ends[i], index.next_word[i]
         src, dst = max(int(lo[r]), 0), max(-int(lo[r]), 0)
-        part = text[src : src + lens[r] + width - dst]
+        part = text[src : max(src, int(lo[r]) + n + width)]
         padded[r, dst : dst + len(part)] = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
     ramp = 2 * np.arange(width, dtype=np.int32)
-    row = np.zeros((len(items), width), np.int32)
-    best, end = np.zeros(len(items), np.int32), np.zeros(len(items), np.int64)
-    for i in range(a.shape[1]):
-        new = row + np.where(padded[:, i : i + width] == a[:, i, None], 1, -2).astype(np.int32)
+    shortest = index.shortest[items]
+    row, run = np.zeros((len(items), width), np.int32), np.zeros((len(items), width), np.int32)
+    best, words = np.zeros(len(items), np.int32), np.zeros(len(items), np.int32)
+    for i in range(shape[1]):
+        same = padded[:, i : i + width] == a[:, i, None]
+        new = row + np.where(same, 1, -2).astype(np.int32)
         new[:, :-1] = np.maximum(new[:, :-1], row[:, 1:] - 2)
         np.maximum(new, 0, out=new)
         row = np.maximum.accumulate(new + ramp, axis=1) - ramp
-        at = row.argmax(1)
-        top = row[np.arange(len(row)), at]
-        better = (top > best) & (i < lens)
-        best[better] = top[better]
-        end[better] = (lo + i + at + 1)[better]
-    return best, np.maximum(lo, 0), end
-
-
-def longest_run(words: list[str], text: str, least: int) -> int:
-    """The most consecutive words whose joined letters stand in the text, 0 below ``least``."""
-    best, a, n = 0, 0, len(words)
-    while a + max(least, best + 1) <= n:
-        b = a + max(least, best + 1)
-        if "".join(words[a:b]) in text:
-            while b < n and "".join(words[a : b + 1]) in text:
-                b += 1
-            best = b - a
-        a += 1
-    return best
+        np.maximum(best, row.max(1), out=best, where=i < lens)
+        run = (run + 1) * same
+        longest = run.max(1)
+        full = np.flatnonzero((longest >= shortest) & (ends[:, i] >= 0))
+        if len(full):
+            whole = ends[full, i] - next_word[full, i - longest[full] + 1] + 1
+            words[full] = np.maximum(words[full], whole)
+    return best, words
 
 
 def search(index: Index, texts: list[str | None], min_words: int = MIN_WORDS, edits: int = EDITS) -> list[list[tuple[int, int, int]]]:
@@ -199,10 +219,9 @@ def search(index: Index, texts: list[str | None], min_words: int = MIN_WORDS, ed
         kept = regions(index, bloom, flat, edits)
         for n in range(0, len(kept), ALIGNED):
             some = kept[n : n + ALIGNED]
-            found = aligned([index.text[i] for _, i, _ in some], [flat[t] for t, _, _ in some], [d for *_, d in some], edits)
-            for (t, i, _), score, first, last in zip(some, *(x.tolist() for x in found)):
-                run = longest_run(index.words[i], flat[t][first:last], min_words)
-                if run:
+            found = aligned(index, [i for _, i, _ in some], [flat[t] for t, _, _ in some], [d for *_, d in some], edits)
+            for (t, i, _), score, run in zip(some, *(x.tolist() for x in found)):
+                if run >= min_words:
                     known = done.get((t, i), (0, 0))
                     done[t, i] = (max(known[0], run), max(known[1], score))
         for (t, i), (run, score) in done.items():

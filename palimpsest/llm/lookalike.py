@@ -3,7 +3,7 @@
 A batch of texts is exploded to code points with their text and position, as columns. Tables that
 are worked out once from the Unicode data of the interpreter give each code point its decomposition
 or look-alike; they are looked up for all code points at once, which is the broadcast join with a
-fixed-size table (one entry for each code point of the basic planes). Combining marks are put in
+fixed-size table (one entry for each code point of Unicode). Combining marks are put in
 order of their class between two starters, pairs that compose are composed, and the texts are
 rebuilt. Texts that no table changes are passed through as they are.
 
@@ -15,6 +15,7 @@ shape of a Latin letter. Another letter, digit, accent, case or superscript does
 from __future__ import annotations
 
 import hashlib
+import itertools
 import unicodedata
 from functools import lru_cache
 
@@ -25,17 +26,25 @@ from pyspark.sql import functions as F
 
 from palimpsest.session import stored
 
-LIMIT = 0x20000
+LIMIT = 0x110000
+#: Code points with entries of their own; the others are ideographs, private or unassigned and stay as they are.
+RANGES = (range(0x20000), range(0x2F800, 0x2FA20), range(0xE0000, 0xE1000))
 CHUNK_CHARS = 400_000
 
 # Letters of other scripts that have the shape of the Latin letter below them.
-CYRILLIC = ("АВЕКМНОРСТУХЅІЈԌԚԜҮаеорсухѕіјһԁԛԝ", "ABEKMHOPCTYXSIJGQWYaeopcyxsijhdqw")
-GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαγινορυϲϳ", "ABEZHIKMNOPTYXayivopucj")
+CYRILLIC = ("АВЕКМНОРСТУХЅІЈԌԚԜҮЗӀаеорсухѕіјһԁԛԝѵӏ", "ABEKMHOPCTYXSIJGQWY3Iaeopcyxsijhdqwvl")
+GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧͿϹαγινορυϲϳ", "ABEZHIKMNOPTYXJCayivopucj")
 ARMENIAN = ("օոսհցՕՍԼ", "onuhgOUL")
+CHEROKEE = ("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᏀᏃᏎᏙᏚᏞᏟᏢᏦᏴ", "DRTiYAJEWMHGZ4VSLCPKB")
+COPTIC = ("ⲀⲂⲈⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥⲭ", "ABEHIKMNOPCTYXopcx")
+LISU = ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU")
+SCRIPTS = (CYRILLIC, GREEK, ARMENIAN, CHEROKEE, COPTIC, LISU)
+#: The block of mathematical letters and digits, which are Latin and Greek ones in another typeface.
+MATHEMATICAL = range(0x1D400, 0x1D800)
 #: One shape, two code points.
 SAME = {0x00B5: "μ", 0x2010: "-", 0x2011: "-", 0x0261: "g", 0x2044: "/", 0x2024: "."}
 #: Invisible code points besides those of category Cf.
-INVISIBLE = (0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x180F, 0x3164, 0xFFA0, *range(0xFE00, 0xFE10))
+INVISIBLE = frozenset((0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x180F, 0x3164, 0xFFA0, *range(0xFE00, 0xFE10), *range(0xE0000, 0xE1000)))
 
 
 #: Conjoining jamo compose by arithmetic, which is left to the interpreter.
@@ -46,34 +55,27 @@ JAMO = (0x1100, 0x1200)
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, int], np.ndarray]:
     """Start and length of each code point's replacement, the replacements' code points, combining classes, the
     compositions of pairs, and which code points may compose with what stands before."""
-    alike = {}
-    for there, here in (CYRILLIC, GREEK, ARMENIAN):
-        alike.update({ord(a): b for a, b in zip(there, here)})
-    start, length = np.zeros(LIMIT, np.int32), np.ones(LIMIT, np.int32)
+    alike = {ord(a): b for there, here in SCRIPTS for a, b in zip(there, here)}
+    start, length = np.arange(LIMIT, dtype=np.int32), np.ones(LIMIT, np.uint8)
     classes = np.zeros(LIMIT, np.uint8)
     into: list[int] = []
-    for cp in range(LIMIT):
-        if 0xD800 <= cp < 0xE000:
-            new = None
-        else:
-            new = _replaced(cp, alike)
-            classes[cp] = unicodedata.combining(chr(cp))
-        start[cp] = len(into)
-        if new is None:
-            into.append(cp)
-        else:
-            into.extend(map(ord, new))
-            length[cp] = len(new)
     pairs: dict[int, int] = {}
     second = np.zeros(LIMIT, bool)
-    for cp in range(0xC0, LIMIT):
+    for cp in itertools.chain(*RANGES):
+        if 0xD800 <= cp < 0xE000:
+            continue
+        classes[cp] = unicodedata.combining(chr(cp))
+        if (new := _replaced(cp, alike)) is not None:
+            start[cp], length[cp] = LIMIT + len(into), len(new)
+            into.extend(map(ord, new))
+    for cp in range(0xC0, 0x20000):
         if not 0xD800 <= cp < 0xE000 and 0xAC00 > cp or 0xD7A4 <= cp and not 0xD800 <= cp < 0xE000:
             parts = unicodedata.decomposition(chr(cp)).split()
             if len(parts) == 2 and not parts[0].startswith("<") and unicodedata.normalize("NFC", chr(cp)) == chr(cp):
                 a, b = int(parts[0], 16), int(parts[1], 16)
                 pairs[a << 20 | b] = cp
                 second[b] = True
-    return start, length, np.array(into, np.int32), classes, pairs, second
+    return start, length, np.r_[np.arange(LIMIT, dtype=np.int32), np.array(into, np.int32)], classes, pairs, second
 
 
 def _replaced(cp: int, alike: dict[int, str]) -> str | None:
@@ -97,6 +99,8 @@ def _replaced(cp: int, alike: dict[int, str]) -> str | None:
         return "".join(alike.get(ord(x), x) for x in whole) if any(ord(x) in alike for x in whole) else whole
     if tag in ("<wide>", "<narrow>"):
         return unicodedata.normalize("NFD", "".join(chr(int(p, 16)) for p in parts.split()[1:]))
+    if tag == "<font>" and cp in MATHEMATICAL:
+        return "".join(alike.get(int(p, 16), chr(int(p, 16))) for p in parts.split()[1:])
     if tag == "<compat>" and (0xFB00 <= cp <= 0xFB17 or 0x0132 <= cp <= 0x0133 or 0x01C7 <= cp <= 0x01CC or 0x2160 <= cp <= 0x217F):
         return unicodedata.normalize("NFKD", c)
     return None
@@ -112,7 +116,7 @@ def _changed() -> np.ndarray:
 def _touched() -> np.ndarray:
     """Code points with which a text isn't surely in its form already."""
     out = _changed()
-    for cp in range(0xC0, LIMIT):
+    for cp in range(0xC0, 0x20000):
         if out[cp] and not 0xD800 <= cp < 0xE000:
             whole = unicodedata.normalize("NFD", chr(cp))
             if len(whole) > 1 and unicodedata.normalize("NFC", whole) == chr(cp) and _replaced(cp, {}) == whole:
@@ -142,8 +146,7 @@ def _chunk(texts: list[str]) -> list[str]:
     lens = np.array([len(t) for t in texts])
     cps = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     # a text none of whose code points can change is done
-    low = np.minimum(cps, LIMIT - 1)
-    hit = np.where(cps < LIMIT, _touched()[low], False)
+    hit = _touched()[cps]
     hits = np.add.reduceat(hit, np.r_[0, np.cumsum(lens)[:-1]]) > 0
     out = list(texts)
     if not hits.any():
@@ -153,22 +156,20 @@ def _chunk(texts: list[str]) -> list[str]:
     cps, of = cps[keep], np.repeat(np.arange(len(done)), lens[hits])
     # decompose: every code point becomes its replacement
     start, length, into, classes, pairs, second = _tables()
-    low = np.minimum(cps, LIMIT - 1)
-    n = np.where(cps < LIMIT, length[low], 1)
+    n = length[cps].astype(np.int64)
     src = np.repeat(np.arange(len(cps)), n)
     k = np.arange(len(src)) - np.repeat(np.cumsum(n) - n, n)
-    new = np.where(cps[src] < LIMIT, into[np.minimum(start[low[src]] + k, len(into) - 1)], cps[src])
+    new = into[start[cps[src]] + k].astype(np.int64)
     of = of[src]
     # order combining marks by class behind each starter
-    low = np.minimum(new, LIMIT - 1)
-    ccc = np.where(new < LIMIT, classes[low], 0)
+    ccc = classes[new]
     if ccc.any():
         edge = np.r_[True, of[1:] != of[:-1]]
         group = np.cumsum((ccc == 0) | edge)
         order = np.lexsort((np.arange(len(new)), ccc, group))
         new, of, ccc, group = new[order], of[order], ccc[order], group[order]
     # compose: marks with their starter, and the few starters that compose with one before them
-    may = np.flatnonzero(np.where(new < LIMIT, second[np.minimum(new, LIMIT - 1)], False))
+    may = np.flatnonzero(second[new])
     gone = np.zeros(len(new), bool)
     for j in may.tolist():
         if ccc[j]:

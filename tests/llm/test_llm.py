@@ -561,6 +561,46 @@ def test_qgram_bound_keeps_passages_with_edits():
     assert leakage.regions(index, index.bloom(), [edited], leakage.EDITS)
 
 
+def test_a_longer_stretch_does_not_hide_a_whole_one():
+    rnd = random.Random(2)
+    letters = lambda n: "".join(rnd.choice("qxzjvwk") for _ in range(n))
+    nine = [letters(20) for _ in range(9)]
+    ten = [letters(4) for _ in range(10)]
+    between = [letters(12) for _ in range(20)]
+    item = " ".join(nine + between + ten)
+    index = leakage.Index.build([1], [item])
+    hidden = " ".join(nine + [letters(12) for _ in range(20)] + ten)
+    assert [f[:2] for f in leakage.search(index, [hidden])[0]] == [(0, 10)]
+    assert leakage.search(index, [" ".join(nine)]) == [[]]
+
+
+def test_random_gaps_by_brute_force():
+    """Documents of an item's runs of words with other letters, fewer or more, between them."""
+    rnd = random.Random(23)
+    items = {i: " ".join(rnd.choice(WORDS) for _ in range(rnd.randint(15, 60))) for i in range(12)}
+    texts = []
+    for _ in range(250):
+        words, out, at = items[rnd.randrange(12)].split(), [], 0
+        while at < len(words):
+            n = rnd.choice((1, 3, 8, 9, 10, 11))
+            out += words[at : at + n]
+            gap = rnd.choice((0, 1, 2, 4))
+            out += [rnd.choice(WORDS)[: rnd.randint(1, 5)] for _ in range(rnd.choice((gap, gap, 1)))]
+            at += n + gap
+        texts.append(" ".join(out))
+    index = leakage.Index.build(list(items), list(items.values()))
+    assert [{index.ids[i] for i, *_ in found} for found in leakage.search(index, texts)] == [brute(items, t) for t in texts]
+
+
+def test_common_qgrams_are_counted_in_slices(monkeypatch):
+    items = {i: " ".join(WORDS[:12]) + f" end{i}" for i in range(20)}
+    texts = [" ".join(WORDS[:12]) * 3, " ".join(WORDS[20:40]), " ".join(WORDS[1:11])]
+    index = leakage.Index.build(list(items), list(items.values()))
+    want = leakage.search(index, texts)
+    monkeypatch.setattr(leakage, "SLICE_PAIRS", 50)
+    assert leakage.search(index, texts) == want and [len(w) for w in want] == [20, 0, 20]
+
+
 # ---- 9 look-alikes ---------------------------------------------------------------------------
 
 
@@ -573,7 +613,7 @@ def test_forms_are_canonical_and_idempotent(text):
     assert lookalike.normal_forms([form]) == [form]
 
 
-@pytest.mark.parametrize(("a", "same"), [("раy", "pay"), ("Ｐａｙ１", "Pay1"), ("ﬃ", "ffi"), ("e\u0301", "é"), ("a\u00adb\ufeffc", "abc"), ("x\u2009y", "x y"), ("Κ\u212a", "KK"), ("\u0430\u0301", "á"), ("①", "①"), ("m²", "m²"), ("a  b", "a  b"), ("", "")])
+@pytest.mark.parametrize(("a", "same"), [("раy", "pay"), ("Ｐａｙ１", "Pay1"), ("ﬃ", "ffi"), ("e\u0301", "é"), ("a\u00adb\ufeffc", "abc"), ("x\u2009y", "x y"), ("Κ\u212a", "KK"), ("\u0430\u0301", "á"), ("①", "①"), ("m²", "m²"), ("a  b", "a  b"), ("", ""), ("pay\U000e0041", "pay"), ("pay\U000e0101", "pay"), ("\U0002f800", "\u4e3d"), ("ᏟᏞ", "CL"), ("ⲤⲞ", "CO"), ("\U0001d429\U0001d41a\U0001d432", "pay"), ("\U0001d7d7", "9"), ("\U00020000\U0010fffd🏦", "\U00020000\U0010fffd🏦")])
 def test_forms(a, same):
     assert lookalike.normal_forms([a, None]) == [same, None]
 
