@@ -319,8 +319,35 @@ def test_coverage_is_the_smallest_vocabulary(spark):
 # ---- 3 markup --------------------------------------------------------------------------------
 
 
-def test_trees_know_their_table():
+def test_trees_know_their_table_and_what_it_tells_of_others():
     assert [(s, markup.residue(s)) for s, _ in markup.LABELLED] == [(s, [k] if k else []) for s, k in markup.LABELLED]
+    used = set().union(*(t.used() for t in markup.trees().values()))
+    assert {"link_density", "words", "words_behind", "lines"} <= used
+    whole = markup.held_out_accuracy()
+    assert whole > 0.85
+    assert markup.held_out_accuracy(markup.SURROUNDINGS) < whole - 0.05
+    assert markup.held_out_accuracy(("link_density", "links_before", "links_behind")) < whole - 0.02
+
+
+@pytest.mark.parametrize(
+    ("value", "clean"),
+    [
+        (r"<p>The **rate** of [[Fees]] is $x = a \cdot b$.</p>", [("text", r"The rate of Fees is $x = a \cdot b$.")]),
+        ("<p>Set **mode** with <code>**x**</code> now.</p>", [("text", "Set mode with **x** now.")]),
+        ("<p>&lt;b&gt;Use&lt;/b&gt; <code>&lt;i&gt;</code> here.</p>", [("text", "Use <i> here.")]),
+        ("<p>" + "&" + "amp;" * 6 + "lt;b" + "&" + "amp;" * 6 + "gt;deep" + "&" + "amp;" * 6 + "lt;/b" + "&" + "amp;" * 6 + "gt;</p>", [("text", "deep")]),
+        ("<p>a \ufffc b <code>**y**</code> **c**</p>", [("text", "a \ufffc b **y** c")]),
+        ("<ul><li>**a** <code>_b_</code></li><li><code>c</code></li></ul>", [("item", "a _b_"), ("code", "c")]),
+    ],
+)
+def test_several_kinds_and_code_in_a_block(value, clean):
+    assert markup.clean(value) == clean
+
+
+def test_bullets_in_menus_and_signs_over_columns_are_no_markup():
+    menu = "<p>* <a href='a'>Start here</a><br>* <a href='b'>Our prices</a></p>"
+    assert markup.residue(menu) == [] and markup.residue(re.sub("<a[^>]*>|</a>", "", menu)) == ["markdown"]
+    assert markup.residue("<table><tr><td># Loans</td><td>7</td></tr></table>") == [] and markup.residue("# Loans of all kinds, old and new") == ["markdown"]
 
 
 @pytest.mark.parametrize(
