@@ -6,8 +6,8 @@ trigrams and a language prototype the centred bundle of its training trigrams. T
 with prototypes by cosine. As the inner product is linear, <text, prototype> is the sum over the
 text's trigrams of <trigram, prototype>, so the products of all trigrams with all prototypes are
 worked out once on the driver (64**3 x languages floats, a fixed size) and sent to the executors;
-a text then costs one table look-up for each letter. The norm of a bundle of n quasi-orthogonal
-vectors is sqrt(n * D), which is used as the text's norm.
+a text then costs one table look-up for each letter. The norm of a bundle of quasi-orthogonal
+vectors is sqrt(D * sum of the squared counts of its trigrams), which is used as the text's norm.
 
 Prototypes are trained on short seed texts for each language and on a bounded, hash-selected
 sample of the labelled rows (``max_train_rows``, a documented bound); the sample's sentences are
@@ -36,7 +36,9 @@ CHUNK_CHARS = 400_000
 MIN_SEGMENT_LETTERS = 14
 MIN_LEAD = 0.05
 #: A second language needs segments with so large a lead.
-MIN_PASSAGE_LEAD = 0.1
+MIN_PASSAGE_LEAD = 0.085
+#: Short segments that lean to one language side by side need so large a lead together.
+MIN_RUN_LEAD = 0.085
 #: In training a labelled segment moves to another language only for so large a lead over its label.
 MOVE_LEAD = 0.2
 #: Rounds of training after the first.
@@ -44,6 +46,8 @@ ROUNDS = 2
 #: A passage in a language needs so many letters in deciding segments; a text so many letters at all.
 MIN_PASSAGE_LETTERS = 20
 MIN_TEXT_LETTERS = 20
+#: A Japanese sign counts for so many letters of a passage.
+DENSE = 2
 #: Below this cosine with every prototype a text is taken as no language.
 MIN_COSINE = 0.02
 
@@ -276,14 +280,30 @@ def scores_of_counts(counts: np.ndarray) -> np.ndarray:
     return out.reshape(K**3, len(counts)) / np.float32(np.sqrt(DIM))
 
 
-def segment_scores(segs: Segments, table: np.ndarray) -> np.ndarray:
-    """Cosine of every segment's bundle with every prototype."""
+def norms(groups: np.ndarray, trigrams: np.ndarray, count: int) -> np.ndarray:
+    """Norm of every group's bundle, as a multiple of a trigram's: the root of the sum of its trigrams' squared counts."""
+    keys = np.sort(groups * K**3 + trigrams)
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    runs = np.diff(np.r_[first, len(keys)])
+    return np.sqrt(np.maximum(np.bincount(keys[first] // K**3, runs * runs, count), 1))
+
+
+def products(segs: Segments, table: np.ndarray) -> np.ndarray:
+    """Inner product of every segment's bundle with every prototype."""
     count = len(segs.text)
     if not len(segs.trigram):
         return np.zeros((count, table.shape[1]))
-    n = np.bincount(segs.segment, minlength=count)
-    sums = np.stack([np.bincount(segs.segment, table[segs.trigram, lang], count) for lang in range(table.shape[1])], 1)
-    return sums / np.sqrt(np.maximum(n, 1))[:, None]
+    return np.stack([np.bincount(segs.segment, table[segs.trigram, lang], count) for lang in range(table.shape[1])], 1)
+
+
+def cosines(segs: Segments, inner: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
+    """Cosine with every prototype of the bundle of every segment, or of every group of segments."""
+    if group is None:
+        return inner / norms(segs.segment, segs.trigram, len(inner))[:, None]
+    count = int(group[-1]) + 1 if len(group) else 0
+    total = np.zeros((count, inner.shape[1]))
+    np.add.at(total, group, inner)
+    return total / norms(group[segs.segment], segs.trigram, count)[:, None]
 
 
 def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
@@ -318,7 +338,7 @@ class Model:
                 segs = segments(every[a:b])
                 given = np.array([lang for _, lang in rows[a:b]])[segs.text]
                 if table is not None:
-                    found = segment_scores(segs, table)
+                    found = cosines(segs, products(segs, table))
                     own_score = np.take_along_axis(found, given[:, None], 1)[:, 0]
                     moved = (segs.letters >= MIN_SEGMENT_LETTERS) & (found.max(1) - own_score > MOVE_LEAD)
                     given = np.where(moved, found.argmax(1), given)
@@ -344,19 +364,18 @@ class Model:
         for a, b in chunks(plain):
             segs = segments(plain[a:b])
             quoted = np.array([("“" in t or "«" in t) and sum(map(str.isalpha, t)) for t in plain[a:b]], np.int64)
-            yield from _passages(segs, segment_scores(segs, self.table), b - a, quoted)
+            yield from _passages(segs, products(segs, self.table), quoted)
 
 
-def _passages(segs: Segments, found: np.ndarray, count: int, quoted: np.ndarray) -> Iterator[list[tuple[str, float, int, int, int]]]:
+def _passages(segs: Segments, inner: np.ndarray, quoted: np.ndarray) -> Iterator[list[tuple[str, float, int, int, int]]]:
+    count = len(quoted)
+    found = cosines(segs, inner)
     ranked = np.sort(found, 1)
     lead = ranked[:, -1] - ranked[:, -2]
     sure = (segs.letters >= MIN_SEGMENT_LETTERS) & (lead > MIN_LEAD) & (ranked[:, -1] > MIN_COSINE)
     best = found.argmax(1)
-    weight = np.sqrt(np.maximum(segs.letters, 1))[:, None]
-    total = np.zeros((count, found.shape[1]))
-    np.add.at(total, segs.text, found * weight)
+    total = cosines(segs, inner, segs.text)
     letters = np.bincount(segs.text, segs.letters, count)
-    total /= np.sqrt(np.maximum(letters, 1))[:, None]
     whole = total.argmax(1)
     top = np.sort(total, 1)
     bounds = np.searchsorted(segs.text, np.arange(count + 1))
@@ -364,16 +383,26 @@ def _passages(segs: Segments, found: np.ndarray, count: int, quoted: np.ndarray)
     # what a segment leaves open, its part between line ends and bars may tell, unless clear segments of it disagree
     clear = sure & (lead > MIN_PASSAGE_LEAD)
     parts = int(segs.part[-1]) + 1
-    by_part = np.zeros((parts, found.shape[1]))
-    np.add.at(by_part, segs.part, found * weight)
+    by_part = cosines(segs, inner, segs.part)
     part_letters = np.bincount(segs.part, segs.letters, parts)
-    by_part /= np.sqrt(np.maximum(part_letters, 1))[:, None]
     top_part = np.sort(by_part, 1)
     part_clear = (part_letters >= MIN_PASSAGE_LETTERS) & (top_part[:, -1] - top_part[:, -2] > MIN_PASSAGE_LEAD) & (top_part[:, -1] > MIN_COSINE)
     of_part = by_part.argmax(1)[segs.part]
     part_clear &= np.bincount(segs.part, clear & (best != of_part), parts) == 0
     told = np.where(clear, best, np.where(part_clear[segs.part] & (segs.letters > 0), of_part, -1))
-    np.add.at(in_lang, (segs.text[told >= 0], told[told >= 0]), segs.letters[told >= 0])
+    # short segments side by side that lean to one language may tell it together
+    lean = np.where(segs.letters > 0, best, -1)
+    run = np.cumsum(np.r_[False, (lean[1:] != lean[:-1]) | (segs.text[1:] != segs.text[:-1])])
+    by_run = cosines(segs, inner, run)
+    top_run = np.sort(by_run, 1)
+    run_letters = np.bincount(run, segs.letters)
+    run_clear = (run_letters >= MIN_PASSAGE_LETTERS) & (top_run[:, -1] - top_run[:, -2] > MIN_RUN_LEAD) & (top_run[:, -1] > MIN_COSINE)
+    told = np.where((told < 0) & (lean >= 0) & run_clear[run] & (by_run.argmax(1)[run] == lean), lean, told)
+    # a segment that is too short to tell goes with one beside it that it leans to
+    for beside, ok in ((np.r_[-1, told[:-1]], np.r_[False, segs.text[1:] == segs.text[:-1]]), (np.r_[told[1:], -1], np.r_[segs.text[1:] == segs.text[:-1], False])):
+        told = np.where((told < 0) & ok & (segs.letters > 0) & (beside == best), best, told)
+    weight = np.where(told == LANGS.index("ja"), DENSE, 1)
+    np.add.at(in_lang, (segs.text[told >= 0], told[told >= 0]), (segs.letters * weight)[told >= 0])
     for i in range(count):
         if max(letters[i], quoted[i] if letters[i] >= MIN_SEGMENT_LETTERS - 2 else 0) < MIN_TEXT_LETTERS or (top[i, -1] < MIN_COSINE and not in_lang[i].any()):
             yield []
@@ -404,18 +433,27 @@ def _passages(segs: Segments, found: np.ndarray, count: int, quoted: np.ndarray)
         yield [tuple(p) for p in out]
 
 
-def training_rows(labelled: DataFrame, text: str = "text", lang: str = "lang", max_train_rows: int = 6000) -> tuple[list[str], list[str]]:
-    """A hash-selected sample of at most about max_train_rows labelled texts, on the driver."""
+#: Bounds of the labelled sample that the prototypes are trained on.
+MAX_TRAIN_ROWS = 6000
+MAX_TRAIN_CHARS = 5000
+
+
+def training_rows(labelled: DataFrame, text: str = "text", lang: str = "lang", max_train_rows: int = MAX_TRAIN_ROWS) -> tuple[list[str], list[str]]:
+    """A sample of about max_train_rows labelled texts by their hash, on the driver.
+
+    Its texts have at most MAX_TRAIN_CHARS characters and are distinct, so a text that is repeated
+    often takes one place; those of the least hashes are taken, so it is the same each time.
+    """
     known = labelled.where(F.col(text).isNotNull()).select(F.col(text).alias("t"), normal_label(F.col(lang)).alias("l"))
-    known = known.where(F.col("l").isin(*LANGS) & (F.length("t") < 5000))
-    count = labelled.count()
-    step = max(1, -(-count // max_train_rows))
-    rows = known.where(F.pmod(F.xxhash64("t"), F.lit(step)) == 0).limit(2 * max_train_rows).collect()
+    known = known.where(F.col("l").isin(*LANGS) & (F.length("t") <= MAX_TRAIN_CHARS))
+    step = max(1, -(-labelled.count() // max_train_rows))
+    some = known.where(F.pmod(F.xxhash64("t"), F.lit(step)) == 0).distinct()
+    rows = some.orderBy(F.xxhash64("t", F.lit(SEED)), "t", "l").limit(2 * max_train_rows).collect()
     rows.sort()
     return [r.t for r in rows], [r.l for r in rows]
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_train_rows: int = 6000) -> Model:
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_train_rows: int = MAX_TRAIN_ROWS) -> Model:
     return Model.train(*training_rows(labelled, text, lang, max_train_rows))
 
 

@@ -24,9 +24,16 @@ def texts_with_labels(spark: SparkSession, folder: str) -> DataFrame:
     return blocks.unionByName(segments)
 
 
+_models: dict[tuple[str, str], langid.Model] = {}
+
+
 def language_model(spark: SparkSession, folder: str) -> langid.Model:
-    labelled = table(spark, folder, "block_audit").select(F.col("original_text").alias("text"), "lang")
-    return langid.fit(labelled)
+    """The model of a folder's labelled blocks, fitted once in a session; it has a fixed size."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _models:
+        labelled = table(spark, folder, "block_audit").select(F.col("original_text").alias("text"), "lang")
+        _models[key] = langid.fit(labelled)
+    return _models[key]
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 #: Units in the blocks that are compared, and classes that words are counted in.
 BLOCK_UNITS = 6
 WORD_CLASSES = 256
+#: Possible cuts whose blocks are held at once.
+UNITS_AT_ONCE = 2048
 
 _SENTENCE = re.compile(r"[.!?…][\"'”’»)\]]*\s+|[。！？]+|;\s+|\n+")
 _ELEMENT = re.compile(
@@ -32,14 +34,15 @@ _WORD = re.compile(r"[^\W\d_]{2,}")
 _BLANK = re.compile(r"\s+")
 
 
-def possible_cuts(text: str, html: bool) -> list[int]:
-    """Offsets behind natural boundaries, none inside a tag or character entity."""
-    cuts = {m.end() for m in _SENTENCE.finditer(text)}
+def possible_cuts(text: str, html: bool) -> np.ndarray:
+    """Offsets behind natural boundaries in order, none inside a tag or character entity."""
+    cuts = np.fromiter((m.end() for m in _SENTENCE.finditer(text)), np.int64)
     if html:
         inside = _inside_tags(text)
-        cuts = {c for c in cuts if c == len(text) or not inside[c]}
-        cuts |= {m.end() for m in _ELEMENT.finditer(text)}
-    return sorted(c for c in cuts if 0 < c < len(text))
+        inside[len(text)] = False
+        cuts = np.r_[cuts[~inside[cuts]], np.fromiter((m.end() for m in _ELEMENT.finditer(text)), np.int64)]
+    cuts = np.unique(cuts)
+    return cuts[(cuts > 0) & (cuts < len(text))]
 
 
 def _inside_tags(text: str) -> np.ndarray:
@@ -50,19 +53,38 @@ def _inside_tags(text: str) -> np.ndarray:
     return out
 
 
-def cohesion_depths(text: str, cuts: list[int]) -> np.ndarray:
-    """Depth of the similarity valley at each possible cut."""
-    bounds = [0, *cuts, len(text)]
+def _counts(text: str, bounds: np.ndarray) -> np.ndarray:
+    """Words of each class in each unit between neighbouring bounds."""
     counts = np.zeros((len(bounds) - 1, WORD_CLASSES))
-    for i in range(len(bounds) - 1):
-        for w in _WORD.findall(_TAG.sub(" ", text[bounds[i] : bounds[i + 1]]).lower()):
+    for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+        for w in _WORD.findall(_TAG.sub(" ", text[a:b]).lower()):
             counts[i, zlib.crc32(w.encode("utf-8", "replace")) % WORD_CLASSES] += 1
-    total = np.vstack([np.zeros(WORD_CLASSES), np.cumsum(counts, 0)])
-    at = np.arange(1, len(bounds) - 1)
-    before = total[at] - total[np.maximum(at - BLOCK_UNITS, 0)]
-    behind = total[np.minimum(at + BLOCK_UNITS, len(counts))] - total[at]
-    norm = np.linalg.norm(before, axis=1) * np.linalg.norm(behind, axis=1)
-    alike = (before * behind).sum(1) / np.maximum(norm, 1e-9)
+    return counts
+
+
+def similarities(text: str, cuts: np.ndarray) -> np.ndarray:
+    """Cosine of the word counts of the units before and behind each possible cut.
+
+    Only the units around UNITS_AT_ONCE cuts are counted at a time, so a text of any length takes the same memory.
+    """
+    bounds = np.r_[0, cuts, len(text)]
+    units = len(bounds) - 1
+    alike = np.zeros(len(cuts))
+    for first in range(0, len(cuts), UNITS_AT_ONCE):
+        last = min(first + UNITS_AT_ONCE, len(cuts))
+        begin, end = max(0, first + 1 - BLOCK_UNITS), min(units, last + BLOCK_UNITS)
+        total = np.vstack([np.zeros(WORD_CLASSES), np.cumsum(_counts(text, bounds[begin : end + 1]), 0)])
+        at = np.arange(first + 1, last + 1)
+        before = total[at - begin] - total[np.maximum(at - BLOCK_UNITS, 0) - begin]
+        behind = total[np.minimum(at + BLOCK_UNITS, units) - begin] - total[at - begin]
+        norm = np.linalg.norm(before, axis=1) * np.linalg.norm(behind, axis=1)
+        alike[first:last] = (before * behind).sum(1) / np.maximum(norm, 1e-9)
+    return alike
+
+
+def cohesion_depths(text: str, cuts: np.ndarray) -> np.ndarray:
+    """Depth of the similarity valley at each possible cut."""
+    alike = similarities(text, cuts)
     left, right = alike.copy(), alike.copy()
     for i in range(1, len(alike)):
         left[i] = max(alike[i], left[i - 1]) if alike[i - 1] >= alike[i] else alike[i]
@@ -83,10 +105,9 @@ def pieces(text: str | None, limit: int, overlap: int, html: bool = False) -> li
         return []
     if len(text) <= limit:
         return [(0, len(text), "end")]
-    cuts = possible_cuts(text, html)
-    depths = cohesion_depths(text, cuts) if cuts else np.zeros(0)
+    where = possible_cuts(text, html)
+    depths = cohesion_depths(text, where)
     inside = _inside_tags(text) if html else None
-    where = np.array(cuts, np.int64)
     out: list[tuple[int, int, str]] = []
     start = 0
     while len(text) - start > limit:

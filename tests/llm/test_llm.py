@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 import unicodedata
 
 import duckdb
@@ -77,6 +78,41 @@ def test_the_table_is_the_inner_product_of_the_vectors():
         assert table[t] == pytest.approx(protos @ vector(t) / np.sqrt(langid.DIM), abs=1e-3)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="abc thesn éあ今. ", max_size=400), st.integers(1, 60))
+def test_cosines_are_cosines(text, times):
+    model = langid.Model.train()
+    segs = langid.segments([text * times, "the " * 200, EN * 3])
+    inner = langid.products(segs, model.table)
+    for got in (langid.cosines(segs, inner), langid.cosines(segs, inner, segs.text), langid.cosines(segs, inner, segs.part)):
+        assert np.abs(got).max() <= 1.0
+
+
+def test_cosine_is_that_of_the_bundle(model):
+    """Bundles added up vector by vector; what differs is the chance correlation of their trigrams."""
+    base = langid._letters()
+    for text in (*ALL.values(), "the " * 50):
+        segs = langid.segments([text])
+        t = segs.trigram
+        vectors = np.roll(base[t // langid.K**2], 2, 1) * np.roll(base[t // langid.K % langid.K], 1, 1) * base[t % langid.K]
+        inner = langid.products(segs, model.table)
+        exact = inner.sum(0) * np.sqrt(langid.DIM) / np.linalg.norm(vectors.sum(0))
+        assert langid.cosines(segs, inner, segs.text)[0] == pytest.approx(exact, abs=0.03)
+
+
+def test_short_sentences_tell_a_language_together(model):
+    text = "They should. Nothing there. With them. " + NL
+    (got,) = model.passages([text])
+    assert [p[0] for p in got] == ["en", "nl"]
+
+
+def test_training_sample_is_the_same_each_time(spark):
+    data = [(f"text number {i} is here", "en") for i in range(60)] + [("the hot text", "en")] * 300 + [("x" * 9000, "en"), (None, "en"), ("unknown", "und")]
+    df = spark.createDataFrame(data, "text string, lang string")
+    some = langid.training_rows(df, max_train_rows=100)
+    assert some == langid.training_rows(df.repartition(7), max_train_rows=100) and some[0].count("the hot text") <= 1
+
+
 def test_chunks_make_no_difference(model):
     texts = [EN, None, NL + DE, "x" * 5000 + " " + FR, ""] * 3
     whole = list(model.passages(texts))
@@ -427,6 +463,25 @@ def test_split_items(spark):
     assert splitting.split_items(df.limit(0), "t", ["k"], 100, 20).count() == 0
 
 
+def test_units_at_once_make_no_difference(monkeypatch):
+    rnd = random.Random(5)
+    text = " ".join(rnd.choice(ALL[k].split()) + rnd.choice(["", "", "."]) for k in rnd.choices("en nl de".split(), k=4000))
+    cuts = splitting.possible_cuts(text, False)
+    whole = splitting.similarities(text, cuts)
+    for n in (1, 7, 100):
+        monkeypatch.setattr(splitting, "UNITS_AT_ONCE", n)
+        assert splitting.similarities(text, cuts) == pytest.approx(whole, abs=1e-9)
+
+
+def test_a_very_long_item_takes_little_memory():
+    text = (EN + " " + NL + " " + DE + "\n") * 40_000  # about 10 million characters
+    tracemalloc.start()
+    found = splitting.pieces(text, 12_000, 200, html=True)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found[-1][1] == len(text) and peak < 12 * len(text)
+
+
 # ---- 6 truncation ----------------------------------------------------------------------------
 
 
