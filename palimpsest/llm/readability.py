@@ -1,9 +1,7 @@
 """Problem 2: reading level of documents by vocabulary coverage and sentence complexity.
 
 The English words of each document are counted. Two reference vocabularies are ranked by frequency
-in labelled documents: that of the levels below advanced and that of the basic level; words much
-more frequent in the levels above are ranked behind all others, since single passages may stray from
-their document's level. A document's coverage is the smallest share of a ranked vocabulary that
+in labelled documents: that of the levels below advanced and that of the basic level. A document's coverage is the smallest share of a ranked vocabulary that
 covers ``COVERED`` of its tokens. Its sentence complexity is the mean length of its sentences. Both
 are calibrated in SQL: of a small grid of weights for complexity and a thousand thresholds, the pair
 with the fewest errors on the labelled documents, in the middle of the best thresholds.
@@ -27,8 +25,6 @@ from palimpsest.session import stored
 
 COVERED = 0.8
 MAX_VOCABULARY = 50_000
-#: A word that is so many times more frequent above a level than in it is ranked behind its vocabulary.
-STRAY_FACTOR = 2.0
 WEIGHTS = (0.0, 0.05, 0.1, 0.2)
 BINS = 1000
 #: Sentence lengths from here on count the same.
@@ -122,18 +118,8 @@ def vocabulary(counted: DataFrame, labels: DataFrame, doc: list[str], level: str
     total = [F.sum(F.when(F.col(level) == name, F.col("n")).otherwise(0)).alias(name) for name in LEVELS]
     each = known.groupBy("word").agg(*total).orderBy(F.desc(F.col("basic") + F.col("intermediate") + F.col("advanced")), "word")
     each = stored(each.limit(max_vocabulary))
-    sums = each.agg(*(F.sum(name).alias(name) for name in LEVELS)).first()
-    all_of = {name: max(sums[name] or 0, 1) for name in LEVELS}
-    rates = each.select(
-        "word",
-        ((F.col("basic") + F.col("intermediate")) / (all_of["basic"] + all_of["intermediate"])).alias("plain"),
-        (F.col("advanced") / all_of["advanced"]).alias("above_plain"),
-        (F.col("basic") / all_of["basic"]).alias("basic"),
-        (F.col("intermediate") / all_of["intermediate"]).alias("above_basic"),
-    )
-    own = lambda name: F.when(F.col(name) * STRAY_FACTOR >= F.col(f"above_{name}"), F.col(name)).otherwise(0.0)
-    by = lambda name: F.row_number().over(Window.orderBy(own(name).desc(), F.col(name).desc(), "word"))
-    return rates.select("word", by("plain").alias("plain_rank"), by("basic").alias("basic_rank"))
+    by = lambda n: F.row_number().over(Window.orderBy(n.desc(), "word"))
+    return each.select("word", by(F.col("basic") + F.col("intermediate")).alias("plain_rank"), by(F.col("basic")).alias("basic_rank"))
 
 
 def covered_rank(ranks: list[int], counts: list[int], share: float = COVERED) -> int:
