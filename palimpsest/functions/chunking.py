@@ -2,75 +2,73 @@
 
 from __future__ import annotations
 
+import bisect
 import difflib
+import itertools
 import re
 from collections.abc import Callable, Iterator, Sequence
 
 from palimpsest.functions import patterns as P
 
+_SOLID = re.compile(r"\S")
 
-def cut_at_blanks(text: str, most: int) -> list[str]:
-    """Pieces of at most ``most`` characters: at the last blank of the second half, else anywhere; stripped."""
-    out, at = [], 0
-    while at < len(text):
-        stop = min(at + most, len(text))
-        if stop < len(text) and (blank := text.rfind(" ", at, stop)) > at + most // 2:
-            stop = blank
-        if piece := text[at:stop].strip():
-            out.append(piece)
+
+# Where a text may be cut is worked out first, as places in order; which of them are taken is a
+# search among the places that all cutters share.
+
+
+def cut_ranges(size: int, most: int, places: Sequence[int], least: int, resume: Callable[[int], int] = int) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``most`` that cover 0 to size: each ends at the last place behind its first ``least``, at the
+    limit where there is none; the next begins where ``resume`` says."""
+    at = 0
+    while size - at > most:
+        near = bisect.bisect_right(places, at + most) - 1
+        stop = places[near] if near >= 0 and places[near] > at + least else at + most
+        yield at, stop
+        at = resume(stop)
+    if at < size:
+        yield at, size
+
+
+def packed_ranges(sizes: Sequence[int], most: int, glue: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours that with ``glue`` between them take at most ``most`` together; a larger one is alone."""
+    upto = [0, *itertools.accumulate(n + glue for n in sizes)]
+    at = 0
+    while at < len(sizes):
+        stop = max(at + 1, bisect.bisect_right(upto, upto[at] + most + glue) - 1)
+        yield at, stop
         at = stop
-        while at < len(text) and text[at].isspace():
-            at += 1
-    return out
 
 
 def joined_upto(parts: Sequence[str], most: int, glue: str) -> Iterator[str]:
     """Neighbouring parts joined as long as they stay within ``most``; a larger part is alone."""
-    now = ""
-    for part in parts:
-        both = now + glue + part if now else part
-        if now and len(both) > most:
-            yield now
-            now = part
-        else:
-            now = both
-    if now:
-        yield now
+    for a, b in packed_ranges([len(p) for p in parts], most, len(glue)):
+        yield glue.join(parts[a:b])
+
+
+def cut_at_blanks(text: str, most: int) -> list[str]:
+    """Pieces of at most ``most`` characters: at the last blank of the second half, else anywhere; stripped."""
+    behind = [m.end() for m in re.finditer(" ", text)]
+    solid = lambda at: m.start() if (m := _SOLID.search(text, at)) else len(text)
+    found = (text[a:b].strip() for a, b in cut_ranges(len(text), most, behind, most // 2 + 1, solid))
+    return [piece for piece in found if piece]
 
 
 def sentence_pieces(paragraph: str, most: int) -> list[str]:
     """Sentences joined up to ``most``; a longer sentence is cut at blanks, alone."""
+    every = [s for s in map(str.strip, re.split(P.SENTENCE_END, paragraph.strip())) if s]
     out: list[str] = []
-    run: list[str] = []
-    for s in filter(None, (s.strip() for s in re.split(P.SENTENCE_END, paragraph.strip()))):
-        if len(s) > most:
-            out += joined_upto(run, most, " ")
-            out += cut_at_blanks(s, most)
-            run = []
-        else:
-            run.append(s)
-    return out + list(joined_upto(run, most, " "))
+    for large, run in itertools.groupby(every, lambda s: len(s) > most):
+        out += itertools.chain.from_iterable(cut_at_blanks(s, most) for s in run) if large else joined_upto(list(run), most, " ")
+    return out
 
 
 def rewrite_pieces(text: str | None, target: int = P.TARGET_CHARS, hard: int = P.HARD_CHARS) -> list[str]:
     """Paragraphs packed towards the target size, none above the hard limit."""
-    parts: list[str] = []
-    for p in filter(None, (p.strip() for p in re.split(r"\n\s*\n", (text or "").strip()))):
-        parts += [p] if len(p) <= hard else sentence_pieces(p, hard)
-    out: list[str] = []
-    now = ""
-    for part in parts:
-        both = f"{now}\n\n{part}" if now else part
-        if len(both) <= target:
-            now = both
-        elif now:
-            out.append(now)
-            now = part
-        else:
-            out.append(part)
-    if now:
-        out.append(now)
-    return [piece for o in out for piece in ([o] if len(o) <= hard else cut_at_blanks(o, hard))]
+    within = lambda piece, cut: [piece] if len(piece) <= hard else cut(piece, hard)
+    paragraphs = [p for p in map(str.strip, re.split(r"\n\s*\n", (text or "").strip())) if p]
+    parts = [piece for p in paragraphs for piece in within(p, sentence_pieces)]
+    return [piece for pack in joined_upto(parts, target, "\n\n") for piece in within(pack, cut_at_blanks)]
 
 
 def overlapping_chunks(parts: Sequence[str], most: int, overlap: int) -> list[tuple[int, int, str]]:
@@ -92,13 +90,8 @@ def overlapping_chunks(parts: Sequence[str], most: int, overlap: int) -> list[tu
 def plain_pieces(text: str, most: int) -> list[str]:
     """Pieces that together are the text: behind the last line end, blank, stop or comma of the second half, else
     at the limit."""
-    out = []
-    while len(text) > most:
-        at = max(text.rfind(mark, 0, most) for mark in "\n .;,")
-        at = at + 1 if at >= int(most * 0.5) else most
-        out.append(text[:at])
-        text = text[at:]
-    return [*out, text] if text else out
+    behind = [m.end() for m in re.finditer(r"[\n .;,]", text)]
+    return [text[a:b] for a, b in cut_ranges(len(text), most, behind, most // 2)]
 
 
 def token_safe_chunks(text: str, most: int, token: str = P.GLOBAL_TOKEN) -> list[str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import json
 import re
 from collections import Counter
@@ -180,39 +182,33 @@ def detokenised(text: str, tags: list[tuple[str, str, str]]) -> str:
 
 
 def token_issues(text: str | None, expected: list[str]) -> list[str]:
-    """What is wrong with the tokens of a rewritten text, against the expected numbers."""
+    """What is wrong with the tokens of a rewritten text, against the expected numbers.
+
+    Each number's starts and ends are paired in order, so a token is a range of the text. Numbers are
+    compared as sets and counts, ranges by their places: an end without a start before it is stray, a
+    start without an end unclosed, and two ranges that overlap without one holding the other are misnested.
+    """
     if not (text or "").strip():
         return ["empty_revision"]
-    issues: list[str] = []
-    wanted, found = set(expected), {m[2] for m in _INLINE.finditer(text)}
-    if missing := sorted(wanted - found):
-        issues.append("token_missing:" + ",".join(missing))
-    if extra := sorted(found - wanted):
-        issues.append("token_unexpected:" + ",".join(extra))
-    stack: list[str] = []
-    opened, closed = Counter(), Counter()
+    wanted = set(expected)
+    places: dict[str, tuple[list[int], list[int]]] = {}
     for m in _INLINE.finditer(text):
-        n = m[2]
-        if not m[1]:
-            opened[n] += 1
-            stack.append(n)
-            continue
-        closed[n] += 1
-        if not stack:
-            issues.append(f"token_stray_close:{n}")
-        elif stack[-1] == n:
-            stack.pop()
-        else:
-            issues.append(f"token_misnested:{stack[-1]}:{n}")
-            if n in stack:
-                stack.remove(n)
-    if stack:
-        issues.append("token_unclosed:" + ",".join(stack))
+        places.setdefault(m[2], ([], []))[bool(m[1])].append(m.start())
+    issues = [f"{name}:{','.join(sorted(odd))}" for name, odd in (("token_missing", wanted - set(places)), ("token_unexpected", set(places) - wanted)) if odd]
+    ranges = []
+    for n, (starts, ends) in sorted(places.items()):
+        pairs = list(itertools.zip_longest(starts, ends))
+        issues += [f"token_stray_close:{n}" for a, b in pairs if b is not None and (a is None or b < a)]
+        issues += [f"token_unclosed:{n}" for _, b in pairs if b is None]
+        ranges += [(a, b, n) for a, b in pairs if a is not None and b is not None and a < b]
+    ranges.sort()
+    begins = [r[0] for r in ranges]
+    for i, (_, stop, n) in enumerate(ranges):
+        inside = ranges[i + 1 : bisect.bisect_left(begins, stop)]
+        issues += [f"token_misnested:{other}:{n}" for _, end, other in inside if end > stop and other != n]
     for n in sorted(wanted):
-        if opened[n] != 1:
-            issues.append(f"token_open_count:{n}:{opened[n]}")
-        if closed[n] != 1:
-            issues.append(f"token_close_count:{n}:{closed[n]}")
+        found = places.get(n, ([], []))
+        issues += [f"token_{side}_count:{n}:{len(at)}" for side, at in zip(("open", "close"), found) if len(at) != 1]
     return issues
 
 
