@@ -188,16 +188,21 @@ def longest(df: DataFrame, text: str) -> DataFrame:
 # ---- samples, limits and top-k ---------------------------------------------------------------
 
 
+def mixed(key: Column, seed: int) -> Column:
+    """A number of 32 bits from the digest of a seed and a key, the same in any engine."""
+    return F.conv(F.left(F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string"))), F.lit(8)), 16, 10).cast("bigint")
+
+
 def hash_sample(df: DataFrame, key: str, share: float, seed: int = 42) -> DataFrame:
     """About a share of the rows, chosen by a hash of the key: the same ones however the data is partitioned."""
-    return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < int(share * 1_000_000))
+    return df.where(mixed(F.col(key), seed) < int(share * (1 << 32)))
 
 
 def sample_of(df: DataFrame, key: str, count: int, share: float, seed: int = 42) -> DataFrame:
     """count rows: hash-sampled ones in hash order, topped up with others where they don't suffice."""
-    mixed = F.xxhash64(F.lit(seed), F.col(key))
-    taken = F.pmod(mixed, F.lit(1_000_000)) >= int(share * 1_000_000)
-    return df.withColumn("__o__", F.struct(taken.alias("t"), mixed.alias("h"))).orderBy("__o__", key).limit(count).drop("__o__")
+    place = mixed(F.col(key), seed)
+    order = F.struct((place >= int(share * (1 << 32))).alias("t"), place.alias("h"))
+    return df.withColumn("__o__", order).orderBy("__o__", key).limit(count).drop("__o__")
 
 
 def topped_up(sample: DataFrame, df: DataFrame, key: str, count: int) -> DataFrame:

@@ -304,7 +304,26 @@ def token_differences(spark: SparkSession, folder: str) -> DataFrame:
     return rows.dropDuplicates(["article_id", "seg_id"])
 
 
-@query()
+@query(
+    rf"""
+    WITH w AS (SELECT article_id, seg_id, revised_text AS t, list_distinct(regexp_extract_all(coalesce(original_text, ''), '{P.INLINE_TOKEN}', 1)) AS wanted FROM {_SEGMENTS}),
+         e AS (SELECT article_id, seg_id, wanted, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM (SELECT article_id, seg_id, wanted, regexp_extract_all(coalesce(t, ''), '⟦/?\d+⟧') AS l FROM w)),
+         p AS (SELECT *, regexp_extract(token, '\d+') AS n, token LIKE '⟦/%' AS stops, row_number() OVER (PARTITION BY article_id, seg_id, token ORDER BY pos) AS k FROM e),
+         r AS (SELECT article_id, seg_id, n, k, min(pos) FILTER (NOT stops) AS a, min(pos) FILTER (stops) AS b FROM p GROUP BY ALL),
+         c AS (SELECT article_id, seg_id, x.n, count(DISTINCT a) AS starts, count(DISTINCT b) AS ends FROM (SELECT article_id, seg_id, unnest(wanted) AS n FROM w) x LEFT JOIN r USING (article_id, seg_id, n) GROUP BY ALL),
+         i AS (
+           SELECT article_id, seg_id, 0 AS o1, '' AS o2, 0 AS o3, 0 AS o4, 'empty_revision' AS issue FROM w WHERE trim(regexp_replace(coalesce(t, ''), '{_S}+', ' ', 'g')) = ''
+           UNION ALL SELECT article_id, seg_id, 1, '', 0, 0, 'token_missing:' || string_agg(n, ',' ORDER BY n) FROM c WHERE starts + ends = 0 GROUP BY ALL
+           UNION ALL SELECT article_id, seg_id, 2, '', 0, 0, 'token_unexpected:' || string_agg(DISTINCT n, ',' ORDER BY n) FROM p WHERE NOT list_contains(wanted, n) GROUP BY article_id, seg_id
+           UNION ALL SELECT article_id, seg_id, 3, n, 0, k, 'token_stray_close:' || n FROM r WHERE b IS NOT NULL AND (a IS NULL OR b < a)
+           UNION ALL SELECT article_id, seg_id, 3, n, 1, k, 'token_unclosed:' || n FROM r WHERE b IS NULL
+           UNION ALL SELECT x.article_id, x.seg_id, 4, '', x.a, y.a, 'token_misnested:' || y.n || ':' || x.n FROM r x JOIN r y ON x.article_id = y.article_id AND x.seg_id = y.seg_id AND x.n <> y.n AND x.a < y.a AND y.a < x.b AND x.b < y.b
+           UNION ALL SELECT article_id, seg_id, 5, n, 0, 0, 'token_open_count:' || n || ':' || starts FROM c WHERE starts <> 1
+           UNION ALL SELECT article_id, seg_id, 5, n, 1, 0, 'token_close_count:' || n || ':' || ends FROM c WHERE ends <> 1)
+    SELECT article_id, seg_id, coalesce(string_agg(issue, '; ' ORDER BY o1, o2, o3, o4) FILTER (o1 = 0 OR NOT empty), '') AS issues
+    FROM w LEFT JOIN (SELECT *, min(o1) OVER (PARTITION BY article_id, seg_id) = 0 AS empty FROM i) j USING (article_id, seg_id) GROUP BY article_id, seg_id
+    """
+)
 def token_structure(spark: SparkSession, folder: str) -> DataFrame:
     """Issues of the inline tokens' structure in each segment's revision."""
     tags = F.transform(F.array_distinct(F.regexp_extract_all(F.coalesce("original_text", F.lit("")), F.lit(P.INLINE_TOKEN), F.lit(1))), lambda t: F.struct(t.alias("token")))
@@ -479,7 +498,17 @@ def plain_segments(spark: SparkSession, folder: str) -> DataFrame:
     return segments(spark, folder).select("article_id", "seg_id", X.without_tokens(F.coalesce("original_text", F.lit(""))).alias("plain"))
 
 
-@query()
+_LETTER = r"[\pL\pM\p{Nd}\p{Nl}\p{Pc}\x{200C}\x{200D}]"
+
+
+@query(
+    rf"""
+    WITH s AS (SELECT tag, unnest(list_filter(string_split(regexp_replace(trim(regexp_replace(regexp_replace(coalesce(rewritten_text, ''), '{P.INLINE_TOKEN}', '', 'g'), '{_S}+', ' ', 'g')), '([.!?]) ', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')) AS s FROM {_BLOCKS}),
+         i AS (SELECT tag, unnest([CASE WHEN len(regexp_extract_all(s, '{_LETTER}+(?:[''’-]{_LETTER}+)*')) > 20 THEN 'sentence_too_long' END,
+                                   CASE WHEN regexp_matches(s, '(?i)\b(wordt|worden|werd|werden|is|zijn)\b.*\b\w+(d|t)\b') AND regexp_matches(s, '(?i)\bdoor\b') THEN 'possible_passive' END]) AS issue FROM s)
+    SELECT tag, issue, count(*) AS n FROM i WHERE issue IS NOT NULL GROUP BY ALL
+    """
+)
 def style_issues(spark: SparkSession, folder: str) -> DataFrame:
     issues = X.style_issues(F.coalesce("rewritten_text", F.lit("")))
     return relational.histogram(blocks(spark, folder).select("tag", F.explode(F.transform(issues, lambda i: F.substring_index(i, ":", 1))).alias("issue")), "tag", "issue")
@@ -644,18 +673,30 @@ def position_messages(spark: SparkSession, folder: str) -> DataFrame:
 # ---- samples ---------------------------------------------------------------------------------
 
 
-@query()
+def _mixed(key: str) -> str:
+    """SQL of relational.mixed with its usual seed."""
+    return f"('0x' || left(md5('42|' || {key}), 8))::BIGINT"
+
+
+@query(f"SELECT doc_id, lang FROM documents WHERE {_mixed('doc_id')} < {int(0.1 * (1 << 32))}")
 def hash_sample(spark: SparkSession, folder: str) -> DataFrame:
     """A tenth of the documents, the same ones on any cluster; sampling is the feature."""
     return relational.hash_sample(table(spark, folder, "documents").select("doc_id", "lang"), "doc_id", 0.1)
 
 
-@query("SELECT count(*) AS n, count(DISTINCT doc_id) AS distinct_n FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 30)")
+@query(f"SELECT doc_id FROM documents ORDER BY {_mixed('doc_id')} >= {int(0.001 * (1 << 32))}, doc_id LIMIT 30")
 def topped_up_sample(spark: SparkSession, folder: str) -> DataFrame:
     """Thirty documents: sampled ones, topped up where the sample is short; thirty is the feature."""
     docs = table(spark, folder, "documents").select("doc_id")
-    got = relational.topped_up(relational.hash_sample(docs, "doc_id", 0.001), docs, "doc_id", 30)
-    return got.agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("distinct_n"))
+    return relational.topped_up(relational.hash_sample(docs, "doc_id", 0.001), docs, "doc_id", 30)
+
+
+@query(f"SELECT doc_id, {_mixed('doc_id')} < {int(0.01 * (1 << 32))} AS sampled FROM documents ORDER BY {_mixed('doc_id')}, doc_id LIMIT 25")
+def sample_in_hash_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Twenty-five documents in hash order; the number is the feature."""
+    docs = table(spark, folder, "documents").select("doc_id")
+    got = relational.sample_of(docs, "doc_id", 25, 0.01)
+    return got.withColumn("sampled", relational.mixed(F.col("doc_id"), 42) < int(0.01 * (1 << 32)))
 
 
 # ---- HTML ------------------------------------------------------------------------------------
