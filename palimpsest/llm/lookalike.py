@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.session import stored
@@ -215,6 +215,51 @@ def with_form(df: DataFrame, text: str, keep: list[str], out: str = "form") -> D
     return taken.mapInArrow(run, schema)
 
 
+def exploded_forms(df: DataFrame, key: str, text: str, out: str = "form") -> DataFrame:
+    """key and form of each text, by rows: the same result as with_form for keys that are unique.
+
+    Texts are exploded to positioned code points, which are joined with the broadcast table of
+    replacements (of fixed size), numbered by the starter they belong to, put in order of class,
+    composed within their group, and put together again. One row for each code point is shuffled,
+    so the queries use with_form; this plan is what it is held against.
+    """
+    start, length, into, marks, pairs, second = _tables()
+    changed = np.flatnonzero((length != 1) | (start >= LIMIT) | (marks > 0))
+    spark = df.sparkSession
+    known = [(int(c), [(int(x), int(marks[x])) for x in into[start[c] : start[c] + length[c]]]) for c in changed]
+    table = spark.createDataFrame(known, "cp int, new array<struct<cp:int,mark:int>>")
+    both = F.create_map(*(F.lit(x) for k, v in pairs.items() for x in (k, v)))
+    joins = [int(c) for c in np.flatnonzero(second & (marks == 0))] + list(range(*JAMO))
+    points = F.transform(F.regexp_extract_all(F.hex(F.encode(text, "UTF-32")), F.lit(".{8}"), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("int"))
+    rows = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.posexplode(points).alias("at", "cp"))
+    found = rows.join(F.broadcast(table), "cp", "left").select(
+        "key", "at", F.posexplode(F.coalesce("new", F.array(F.struct("cp", F.lit(0).alias("mark"))))).alias("of", "new")
+    )
+    starter = (F.col("new.mark") == 0) & ~F.col("new.cp").isin(joins)
+    placed = found.withColumn("group", F.sum(starter.cast("int")).over(Window.partitionBy("key").orderBy("at", "of")))
+    # within a group: marks by class, then each with the starter unless one of its class or above stands between
+    listed = placed.groupBy("key", "group").agg(F.sort_array(F.collect_list(F.struct("new.mark", "at", "of", "new.cp"))).alias("l"))
+    none = F.lit(None).cast("int")
+
+    def add(state, x):
+        composed = F.try_element_at(both, F.shiftleft(state["base"].cast("bigint"), 20).bitwiseOR(x["cp"].cast("bigint")))
+        free = state["base"].isNotNull() & (state["last"] < F.greatest(x["mark"], F.lit(1))) & composed.isNotNull()
+        opens = (x["mark"] == 0) & ~free
+        return F.when(free, F.struct(state["done"].alias("done"), composed.cast("int").alias("base"), state["last"].alias("last"), state["rest"].alias("rest"))).when(
+            opens, F.struct(F.concat(state["done"], F.when(state["base"].isNull(), F.array().cast("array<int>")).otherwise(F.array(state["base"])), state["rest"]).alias("done"), x["cp"].alias("base"), F.lit(0).alias("last"), F.array().cast("array<int>").alias("rest"))
+        ).otherwise(F.struct(state["done"].alias("done"), state["base"].alias("base"), x["mark"].alias("last"), F.concat(state["rest"], F.array(x["cp"])).alias("rest")))
+
+    empty = F.array().cast("array<int>")
+    begin = F.struct(empty.alias("done"), none.alias("base"), F.lit(0).alias("last"), empty.alias("rest"))
+    whole = lambda s: F.concat(s["done"], F.when(s["base"].isNull(), empty).otherwise(F.array(s["base"])), s["rest"])
+    composed = listed.select("key", "group", F.aggregate("l", begin, add, whole).alias("cps"))
+    text_of = F.decode(F.unhex(F.array_join(F.transform(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("group", "cps"))), lambda g: g["cps"])), lambda c: F.lpad(F.hex(c), 8, "0")), "")), "UTF-32")
+    forms = composed.groupBy("key").agg(text_of.alias(out))
+    return df.select(F.col(key).alias("key"), F.col(text).alias("__text__")).join(forms, "key", "left").select(
+        F.col("key").alias(key), F.coalesce(out, F.when(F.col("__text__").isNotNull(), F.lit(""))).alias(out)
+    )
+
+
 def classes(df: DataFrame, key: str, text: str) -> DataFrame:
     """For each row with a visible character its key, the digest of its text and that of its form (its class)."""
     name = "__text__"

@@ -700,6 +700,15 @@ def test_forms(a, same):
     assert lookalike.normal_forms([a, None]) == [same, None]
 
 
+def test_forms_by_exploded_rows(spark):
+    rnd = random.Random(17)
+    letters = list("aeonc éüçạ\u200b\u00a0ﬁｅ²①½а") + ["\u0301", "\u0308", "\u0327", "\u0323", "\U0001d41a", "\U000e0041"]
+    texts = ["".join(rnd.choices(letters, k=rnd.randint(0, 30))) for _ in range(150)] + [None, "", "\u200b", "Pay now"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.form for r in lookalike.exploded_forms(df, "doc_id", "text").collect()}
+    assert got == dict(enumerate(lookalike.normal_forms(texts)))
+
+
 def test_lookalike_pairs_against_brute_force(spark):
     rnd = random.Random(13)
     base = ["pay now", "Pay now", "pay  now", "", "x²", "x2", "\u200b", "é"]
