@@ -246,7 +246,7 @@ def harmonised(parts: DataFrame, rewriter: Rewriter, doc: str, order: str, text:
     """One text for each document: neighbouring parts are packed up to a size, joined and rewritten, level by level, until
     a document has one part."""
     now = parts.select(doc, F.col(order).cast("int").alias("__o__"), F.col(text).alias("__t__"))
-    for _ in range(20):
+    while True:  # each level but the last has fewer parts than the one before
         packed = sequence.packed(now, [doc], ["__o__"], F.length("__t__"), most, glue=2, out="__c__")
         grouped = packed.groupBy(doc, "__c__").agg(F.array_sort(F.collect_list(F.struct("__o__", "__t__"))).alias("g"))  # bounded by most
         joined = grouped.select(doc, F.col("__c__").alias("__o__"), F.array_join(F.transform("g", lambda x: x["__t__"]), "\n\n").alias("__t__"), (F.size("g") > 1).alias("__more__"))
