@@ -30,6 +30,8 @@ KINDS = ("markdown", "wiki", "latex", "escaped_html")
 _CODE = frozenset(("code", "pre", "kbd", "samp", "script", "style", "textarea"))
 _HEADINGS = {f"h{n}": n for n in range(1, 7)}
 _DROPPED = frozenset(("script", "style", "noscript", "template", "head", "title", "textarea"))
+#: Values whose blocks are held at once.
+VALUES_AT_ONCE = 64
 #: What stands for removed inline code in the text that is looked at.
 HOLE = "\ufffc"
 
@@ -137,7 +139,13 @@ MARKS = {
     "tag": ("word", r"</?[a-zA-Z][a-zA-Z0-9]*(?:\s+[a-zA-Z-]+(?:=(?:\"[^\"]*\"|'[^']*'|[^\s>]+))?)*\s*/?>", r"<!--.*?-->"),
     "entity": ("word", r"&(?:lt|gt|amp|quot|nbsp|#\d+|#x[0-9a-fA-F]+);"),
 }
-_MARKS = [(name == "tag", unit, [re.compile(p) for p in patterns]) for name, (unit, *patterns) in MARKS.items()]
+#: Signs of which each pattern of a group needs at least one.
+NEEDED = {
+    "markdown_inline": "*[`_~", "markdown_emphasis": "*_", "markdown_heading": "#", "markdown_title": "#", "markdown_bullet": "-*+.", "markdown_block": "`~|[",
+    "markdown_quote": ">", "wiki_inline": "['{", "wiki_emphasis": "'", "wiki_heading": "=", "wiki_table": "{", "wiki_row": "|!", "wiki_bullet": "*#:;",
+    "latex_command": "\\", "latex_word": "\\_^", "latex_maths": "\\$", "tag": "<", "entity": "&",
+}
+_MARKS = [(name == "tag", unit, NEEDED[name], [re.compile(p) for p in patterns]) for name, (unit, *patterns) in MARKS.items()]
 _ANY = re.compile(r"[*_#`\[{\\$<>~&|=]|''|^\s*[-+] |\n\s*[-+] |\n\s*\d+\. ")
 SURROUNDINGS = ("words", "lines", "link_density", "words_before", "words_behind", "links_before", "links_behind")
 FEATURES = (*MARKS, *SURROUNDINGS)
@@ -156,7 +164,11 @@ def densities(plain: str, words: int, lines: int) -> list[float]:
         return [0.0] * len(_MARKS)
     of = {"word": max(words, 1), "line": max(lines, 1)}
     read = unescaped(plain)
-    return [sum(len(p.findall(read if escaped else plain)) for p in patterns) / of[unit] for escaped, unit, patterns in _MARKS]
+    out = []
+    for escaped, unit, needed, patterns in _MARKS:
+        text = read if escaped else plain
+        out.append(sum(len(p.findall(text)) for p in patterns) / of[unit] if any(c in text for c in needed) else 0.0)
+    return out
 
 
 def features(found: list[Block]) -> np.ndarray:
@@ -259,18 +271,32 @@ def held_out_accuracy(without: tuple[str, ...] = (), folds: int = 10) -> float:
     return right / int(marked.sum())
 
 
-def block_kinds(found: list[Block]) -> list[list[str]]:
-    """The kinds of markup in each block."""
-    table = features(found)
-    said = {k: tree(table) for k, tree in trees().items()}
-    return [[k for k in KINDS if said[k][i]] for i in range(len(found))]
+def kinds_of_all(values: list[list[Block]], known: dict[str, Tree] | None = None) -> list[list[list[str]]]:
+    """The kinds of markup in each block of each value, by the trees of the labelled table or those given."""
+    table = np.concatenate([np.zeros((0, len(FEATURES))), *map(features, values)])
+    said = {k: tree(table).tolist() for k, tree in (known or trees()).items()}
+    every = ([k for k in KINDS if said[k][i]] for i in range(len(table)))
+    return [[next(every) for _ in found] for found in values]
 
 
-def residue(source: str | None) -> list[str]:
-    """The kinds of markup a value holds besides its HTML, in the order of KINDS; none for null and blank values."""
-    found = blocks(source)
-    held = {k for ks in block_kinds(found) for k in ks}
-    return [k for k in KINDS if k in held]
+def block_kinds(found: list[Block], known: dict[str, Tree] | None = None) -> list[list[str]]:
+    """The kinds of markup in each block of one value."""
+    return kinds_of_all([found], known)[0]
+
+
+def residues_of(values: list[str | None], known: dict[str, Tree] | None = None) -> list[list[str]]:
+    """The kinds of markup each value holds besides its HTML, in the order of KINDS; none for null and blank values."""
+    out = []
+    for at in range(0, len(values), VALUES_AT_ONCE):
+        for kinds in kinds_of_all([blocks(v) for v in values[at : at + VALUES_AT_ONCE]], known):
+            held = {k for ks in kinds for k in ks}
+            out.append([k for k in KINDS if k in held])
+    return out
+
+
+def residue(source: str | None, known: dict[str, Tree] | None = None) -> list[str]:
+    """The kinds of markup one value holds."""
+    return residues_of([source], known)[0]
 
 
 def _markdown(text: str) -> Iterator[tuple[str, str]]:
@@ -355,12 +381,12 @@ def _latex(text: str) -> Iterator[tuple[str, str]]:
 _READERS = {"markdown": _markdown, "wiki": _wiki, "latex": _latex}
 
 
-def _read(block: Block, kinds: list[str], kind: str) -> list[tuple[str, str]]:
+def _read(block: Block, kinds: list[str], kind: str, known: dict[str, Tree] | None) -> list[tuple[str, str]]:
     """The parts of a block that holds markup, with its holes."""
     if len(kinds) > 1 and "\n\n" in block.plain:
-        return [p for part in re.split(r"\n{2,}", block.plain) for p in clean(H.escape(part))]
+        return [p for part in re.split(r"\n{2,}", block.plain) for p in clean(H.escape(part), known)]
     if "escaped_html" in kinds:
-        return clean(unescaped(block.plain))
+        return clean(unescaped(block.plain), known)
     parts = [(kind, block.plain)]
     for k in kinds:
         new = []
@@ -373,17 +399,17 @@ def _read(block: Block, kinds: list[str], kind: str) -> list[tuple[str, str]]:
     return parts
 
 
-def clean(source: str | None) -> list[tuple[str, str]]:
+def clean(source: str | None, known: dict[str, Tree] | None = None) -> list[tuple[str, str]]:
     """(kind, text) of the parts of a value: heading1-6, item, code, formula, row, text; no markup is left in them but
     what stands in code, which is kept as it is."""
     out: list[tuple[str, str]] = []
     found = blocks(source)
-    for block, kinds in zip(found, block_kinds(found)):
+    for block, kinds in zip(found, block_kinds(found, known)):
         kind = f"heading{_HEADINGS[block.element]}" if block.element in _HEADINGS else "item" if block.element == "li" else "row" if block.element in ("td", "th") else "text"
         if block.code:
             out.append(("code", block.text))
             continue
-        parts = _read(block, kinds, kind) if kinds else [(kind, re.sub(r"\s+", " ", block.plain).strip())]
+        parts = _read(block, kinds, kind, known) if kinds else [(kind, re.sub(r"\s+", " ", block.plain).strip())]
         held = iter(block.held)
         parts = [(k, "".join(next(held, "") if c == HOLE else c for c in t) if HOLE in t else t) for k, t in parts if t]
         out += parts
@@ -412,13 +438,14 @@ def with_clean_text(df: DataFrame, html: str, keep: list[str]) -> DataFrame:
     name = "__html__"
     taken = df.select(*keep, F.col(html).alias(name))
     schema = ", ".join(f"`{c}` {t}" for c, t in taken.dtypes if c != name) + ", kinds array<string>, clean_text string"
+    known = trees()  # grown once, here
 
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index
             values = batch.column(at(name)).to_pylist()
-            kinds = [residue(v) for v in values]
-            texts = [None if v is None else rendered(clean(v)) for v in values]
+            kinds = residues_of(values, known)
+            texts = [None if v is None else rendered(clean(v, known)) for v in values]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(at(k)) for k in keep), pa.array(kinds, pa.list_(pa.string())), pa.array(texts, pa.string())],
                 [*keep, "kinds", "clean_text"],
@@ -435,12 +462,13 @@ def residues(df: DataFrame, fields: list[str], keys: list[str]) -> DataFrame:
     taken = df.select(*keys, *fields)
     kinds = dict(taken.dtypes)
     schema = "field string, " + ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", markup string"
+    known = trees()  # grown once, here
 
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index
             for f in fields:
-                rows = [(i, k) for i, v in enumerate(batch.column(at(f)).to_pylist()) for k in residue(v)]
+                rows = [(i, k) for i, held in enumerate(residues_of(batch.column(at(f)).to_pylist(), known)) for k in held]
                 take = pa.array([i for i, _ in rows], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f] * len(rows), pa.string()), *(batch.column(at(k)).take(take) for k in keys), pa.array([k for _, k in rows], pa.string())],
