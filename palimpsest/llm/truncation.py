@@ -63,9 +63,16 @@ def has_word(text: Column) -> Column:
     return F.regexp_replace(text, r"<[^>]*>|&#?\w+;|```\w*", "").rlike(r"[\p{L}\p{N}]")
 
 
+def without_dots(sentence: str) -> str:
+    """A sentence up to the dots among its last marks."""
+    marks = sentence[len(sentence.rstrip(CLOSING)) :]
+    at = min((i for i in (marks.find("..."), marks.find("…")) if i >= 0), default=len(marks))
+    return sentence[: len(sentence) - len(marks) + at]
+
+
 def sentences(text: str) -> list[str]:
     """The sentences and lines of a text, numbers and names masked, in lower case, without what wraps them and without
-    dots that stand for what follows."""
+    dots that stand for what follows, nor marks behind those: they aren't what a text goes on with."""
     for space in _SPACES:
         if space in text:
             text = text.replace(space, " ")
@@ -73,7 +80,7 @@ def sentences(text: str) -> list[str]:
         text = text.replace("  ", " ")
     text = _ENDS.sub(r"\g<0>\n", _NAME.sub(r"\1^", _NUMBER.sub("#", text))).lower()
     found = [p.strip(AROUND) for p in text.split("\n")]
-    return [_DOTS.sub("", p) if p[-1] in "…." else p for p in found if p]
+    return [kept for p in found if p and (kept := without_dots(p) if p[-1] in CLOSING else p)]
 
 
 def last_sentences(text: str) -> list[str]:
@@ -117,6 +124,14 @@ def ends_in_dots(text: str) -> bool:
     return bool(_DOTS.search(text.rstrip(BEHIND)))
 
 
+def same_dots(text: str, other: str | None) -> bool:
+    """Whether the other text ends in dots as well, behind the same word: then they are how the whole text ends."""
+    if not other or not ends_in_dots(other):
+        return False
+    last, own = (_DOTS.sub("", t.rstrip(BEHIND)).casefold().split()[-1:] for t in (text, other))
+    return last == own
+
+
 def number_goes_on(text: str, other: str | None) -> bool:
     """Whether the number at the end of the text goes on behind its point in the other text, and never ends there."""
     found = _LAST_NUMBER.search(text.rstrip())
@@ -177,7 +192,7 @@ def cut_values(values: DataFrame, copies: list[tuple[DataFrame, list[str]]], key
     which longer copies are sought. A case is a text whose last sentence or clause is, by the join, a
     strict prefix of a longer copy, and which, as an exact check, ends without a closing mark, with
     dots, or inside a number that goes on in its counterpart; it is none if its counterpart ends
-    without a mark too and isn't itself a longer copy. Null texts and texts without a word are none;
+    without a mark too and isn't itself a longer copy, or with dots behind the same word. Null texts and texts without a word are none;
     rows with equal keys give one row; ties cannot arise; empty tables give an empty result.
     """
     bare, own = F.rtrim(F.col(text)), F.rtrim(F.col(other))
@@ -195,7 +210,7 @@ def cut_values(values: DataFrame, copies: list[tuple[DataFrame, list[str]]], key
             for t, o, open_end, nature in zip(*rows):
                 number_cut = not open_end and number_goes_on(t, o)
                 strings.append(asked_of(t, number_cut))
-                case.append(open_end or number_cut or (ends_in_dots(t) and not nature))
+                case.append(open_end or number_cut or (ends_in_dots(t) and not nature and not same_dots(t, o)))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(at(k)) for k in keys), pa.array(case, pa.bool_()), pa.array(strings, pa.list_(pa.string()))], [*keys, "__case__", "__asked__"]
             )

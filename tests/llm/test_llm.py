@@ -541,6 +541,20 @@ def test_the_join_rejects_open_ends_without_a_longer_copy(spark):
     assert rows(truncation.cut_values(df, [(df, ["o", "r"])], ["k"], "r", "o")) == [(9,)]
 
 
+def test_dots_on_both_sides_are_how_a_text_ends(spark):
+    """Marks that a copy has behind its dots prove nothing, and neither does a copy that goes on, if both sides end alike."""
+    whole = "This also holds for transfers, standing orders and so on"
+    data = [
+        ("kept", f"You pay 5 EUR. {whole}…", f"It costs 5 EUR. {whole}…"), ("equal", f"{whole}…", f"{whole}..."), ("wrapped", f"{whole}…", f"\"{whole.upper()}…\"\n"),
+        ("marks", "Other words.", f"{whole}…!"), ("cut", f"You pay 5 EUR. {whole}…", "It costs 5 EUR. This also holds for transfers, stand..."),
+    ]
+    df = spark.createDataFrame(data, "k string, o string, r string")
+    assert rows(truncation.cut_values(df, [(df, ["o", "r"])], ["k"], "r", "o")) == [("cut",)]
+    assert truncation.sentences(f"{whole}…!") == truncation.sentences(f"{whole}...") == [whole.lower()] and truncation.sentences("Who?... …!") == ["who?"]
+    longer = spark.createDataFrame([(f"{whole} and so forth.",)], "o string")
+    assert rows(truncation.cut_values(df, [(df, ["o", "r"]), (longer, ["o"])], ["k"], "r", "o")) == [("cut",)]
+
+
 # ---- 7 encoding ------------------------------------------------------------------------------
 
 
