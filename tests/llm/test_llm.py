@@ -291,6 +291,15 @@ def test_two_unrelated_prompts_make_a_refusal(spark):
     assert [r.opening for r in pairs.refusal_openings(seen).collect()] == ["i must decline to rephrase this"]
 
 
+def test_answers_without_content_words_recur(spark, model):
+    """Nothing can be divided by the number of their content words; that they break off alike makes them no refusals."""
+    data = [("k", 1, "Yes no.", "Ask us for it."), ("k", 2, "Why?", "Ask us for it."), ("k", 3, EN, EN)]
+    data += [("k", 4, "The card is sent to your branch.", "Let us kno"), ("k", 5, "Fees are charged at the end of the year.", "Let us kno")]
+    df = spark.createDataFrame(data, "article_id string, block_id int, p string, a string")
+    got = {r.block_id: r.defect for r in pairs.defects(df, model, ["article_id", "block_id"], "p", "a").collect()}
+    assert got == {1: "refusal", 2: "refusal", 3: "copy", 4: "truncated", 5: "truncated"}
+
+
 # ---- 2 reading level -------------------------------------------------------------------------
 
 
