@@ -11,8 +11,8 @@ prompts it answers, and hardly more of them than of prompts that it doesn't. An
 doesn't recur is decided alone: it is a refusal if it has hardly a word of its prompt and far more
 words that the prompts of the table hardly have than ordinary answers in its language do.
 
-Openings are counted before they are clustered, each member of a bucket links to one like it instead of
-to all of them, and nothing is gathered on the driver but the words that more than a fixed
+Openings are counted before they are clustered, members of a bucket that are linked through others
+aren't compared, and nothing is gathered on the driver but the words that more than a fixed
 share of the prompts have, which are of a bounded number.
 """
 
@@ -20,9 +20,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter, deque
-from itertools import chain
-from math import ceil
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +36,9 @@ OPENING_WORDS = 40
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
-#: An opening of a bucket is held against every one before it that was like none, and against so many just before it.
-RECENT = 64
+#: Openings of a bucket that are held at once are at most two blocks of so many. Up to so many are held each against all
+#: others that they aren't linked with; so few, one by one.
+BLOCK, PLAIN, FEW = 50_000, 2_000, 16
 #: A refusal recurs across so many prompts with different openings and shares at most so much with them, or a little
 #: more if that is hardly more than what it shares with prompts that it doesn't answer.
 MIN_PROMPTS = 2
@@ -232,16 +232,22 @@ def examined(pairs: DataFrame, model: langid.Model, keys: list[str], prompt: str
 
 
 def components(links: DataFrame) -> DataFrame:
-    """id and head, the least of those it is linked with directly or through others."""
-    both = cut(links.unionByName(links.select(F.col("head").alias("id"), F.col("id").alias("head"))))
-    labels = cut(both.groupBy("id").agg(F.least(F.min("head"), F.col("id")).alias("label")))
+    """id and head, the least of those it is linked with directly or through others.
+
+    Every node hands its larger neighbours, and then its smaller ones, to the least it knows, until
+    all that is left are stars. Rounds grow with the logarithm of a chain's length, not with the length.
+    """
+    edges = cut(links.where("id != head").select(F.greatest("id", "head").alias("id"), F.least("id", "head").alias("head")).distinct())
     while True:
-        near = labels.select(F.col("id").alias("head"), F.col("label").alias("near"))
-        least = both.join(near, "head").groupBy("id").agg(F.min("near").alias("near"))
-        moved = cut(labels.join(least, "id").select("id", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")))
-        labels = moved.select("id", "label")
-        if moved.where("moved").isEmpty():
-            return labels.withColumnRenamed("label", "head")
+        both = edges.unionByName(edges.select(F.col("head").alias("id"), F.col("id").alias("head")))
+        least = both.groupBy("id").agg(F.least(F.min("head"), F.col("id")).alias("least"))
+        larger = both.join(least, "id").where("head > id").select(F.col("head").alias("id"), F.col("least").alias("head")).distinct()
+        known = larger.join(larger.groupBy("id").agg(F.min("head").alias("least")), "id")
+        smaller = known.where("head > least").select(F.col("head").alias("id"), F.col("least").alias("head"))
+        edges = cut(known.select("id", F.col("least").alias("head")).unionByName(smaller).distinct())
+        ends = edges.select("id", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("head").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty():
+            return edges.unionByName(edges.select(F.col("head").alias("id"), "head").distinct())
 
 
 #: What is summed over the answers of an opening.
@@ -272,13 +278,79 @@ def refusal_openings(seen: DataFrame) -> DataFrame:
     return clustered.join(found, "head", "left_semi").select("opening")
 
 
+def together(shingle: np.ndarray, counts: np.ndarray, sizes: np.ndarray, similarity: float) -> Iterator[np.ndarray]:
+    """Groups of sets of shingles (numbered, set after set) such that any two of the wanted similarity are together in one.
+
+    Two such sets share one of the first shingles of each in any one order. Rare ones of these sets come first,
+    so that what many have in common brings hardly any together. Few sets are one group.
+    """
+    if len(sizes) <= PLAIN:
+        yield np.arange(len(sizes))
+        return
+    owners = np.repeat(np.arange(len(sizes)), sizes)
+    shingle = shingle[np.lexsort((shingle, counts[shingle], owners))]
+    place = np.arange(len(owners)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = (place <= (sizes - np.ceil(similarity * sizes - 1e-9))[owners]) & (counts[shingle] > 1)
+    shingle, owners = shingle[first], owners[first]
+    order = np.argsort(shingle, kind="stable")
+    ends = [0, *(np.flatnonzero(np.diff(shingle[order])) + 1).tolist(), len(order)]
+    for start, end in zip(ends, ends[1:]):
+        if end - start > 1:
+            yield owners[order[start:end]]
+
+
+def linked(held: list[bytes], similarity: float) -> list[int]:
+    """For each of the sets of shingles one of those that it is linked with, directly or through others: the same for all
+    of them. Any two of the wanted similarity are linked; those that already are aren't compared."""
+    heads = list(range(len(held)))
+    parts: dict[int, list[int]] = {}
+
+    def join(a: int, b: int) -> None:
+        own, other = parts.get(a, [a]), parts.get(b, [b])
+        if len(own) < len(other):
+            a, b, own, other = b, a, other, own
+        for i in other:
+            heads[i] = a
+        own += other
+        parts[a] = own
+
+    if len(held) <= FEW:
+        sets = [frozenset(np.frombuffer(h, np.uint32).tolist()) for h in held]
+        for i, own in enumerate(sets):
+            for j in range(i):
+                if heads[i] != heads[j]:
+                    common = len(own & sets[j])
+                    if common >= similarity * (len(own) + len(sets[j]) - common):
+                        join(heads[i], heads[j])
+        return heads
+    heads = np.arange(len(held))
+    sizes = np.array([len(h) // 4 for h in held])
+    _, shingle, counts = np.unique(np.frombuffer(b"".join(held), np.uint32), return_inverse=True, return_counts=True)
+    rows = np.full((len(held), sizes.max()), len(counts), np.int32)
+    rows[np.arange(rows.shape[1]) < sizes[:, None]] = shingle
+    has = np.zeros(len(counts) + 1, bool)
+    for group in together(shingle, counts, sizes, similarity):
+        for n in range(1, len(group)) if (heads[group] != heads[group[0]]).any() else ():
+            i, before = group[n], group[:n]
+            before = before[heads[before] != heads[i]]
+            if not len(before):
+                continue
+            has[rows[i, : sizes[i]]] = True
+            common = has[rows[before]].sum(1)
+            has[rows[i, : sizes[i]]] = False
+            for j in before[common >= similarity * (sizes[i] + sizes[before] - common)].tolist():
+                if heads[i] != heads[j]:
+                    join(int(heads[i]), int(heads[j]))
+    return heads.tolist()
+
+
 def opening_clusters(openings: DataFrame) -> DataFrame:
     """opening and head of the openings (distinct) that are linked with another: components of verified MinHash links.
 
-    Buckets hold an opening's 64-bit hash and its shingles, which are worked out once. In a bucket an
-    opening is held against those before it that were like none and share one of its first shingles
-    in hash order, which any of the wanted similarity must (so none is left out), and against the
-    RECENT before it, which joins chains. A head is the least hash of its component.
+    Buckets hold an opening's 64-bit hash and its shingles, which are worked out once. Any two of a
+    bucket that are of the wanted similarity are linked. A bucket of more than BLOCK openings is dealt
+    into blocks and each two blocks are looked at together, so that no more than two are held at once.
+    A head is the least hash of its component.
     """
 
     def sign(batches):
@@ -293,31 +365,36 @@ def opening_clusters(openings: DataFrame) -> DataFrame:
 
     known = openings.select(F.xxhash64("opening").alias("id"), "opening")
     each = stored(known.mapInArrow(sign, "id bigint, band bigint, held binary"))
-    crowded = each.groupBy("band").count().where("count > 1").select("band")
-    members = each.join(crowded, "band", "left_semi").select("band", "id", "held")
+    crowded = each.groupBy("band").count().where("count > 1").select("band", F.ceil(F.col("count") / BLOCK).alias("blocks"))
+    block, other = F.expr("pmod(id, blocks)"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
+    members = each.join(crowded, "band").select("band", "id", "held", block.alias("block"), other)
+    members = members.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "held")
 
     def link(batches):
-        bucket, heads, recent = None, {}, deque(maxlen=RECENT)
+        bucket, ids, held, found = None, [], [], []
+
+        def close():
+            found.extend((i, ids[h]) for i, h in zip(ids, linked(held, SIMILARITY)) if i != ids[h])
+            ids.clear()
+            held.clear()
+
+        def out():
+            links = pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], pa.int64()) for n in (0, 1)], ["id", "head"])
+            found.clear()
+            return links
+
         for batch in batches:
-            found = []
-            for band, i, held in zip(*(c.to_pylist() for c in batch.columns)):
-                if band != bucket:
-                    bucket, heads, recent = band, {}, deque(maxlen=RECENT)
-                ordered = np.frombuffer(held, np.uint32).tolist()
-                own = set(ordered)
-                first = ordered[: len(ordered) - ceil(SIMILARITY * len(ordered)) + 1]
-                for head, other in chain(reversed(recent), (h for x in first for h in heads.get(x, ()))):
-                    common = len(own & other)
-                    if common >= SIMILARITY * (len(own) + len(other) - common):
-                        found.append((i, head))
-                        break
-                else:
-                    for x in first:
-                        heads.setdefault(x, []).append((i, own))
-                recent.append((i, own))
-            yield pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], pa.int64()) for n in (0, 1)], ["id", "head"])
-
-    ordered = members.repartition("band").sortWithinPartitions("band", "id")
+            for *at, i, h in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != bucket:
+                    close()
+                    bucket = at
+                ids.append(i)
+                held.append(h)
+            yield out()
+        close()
+        yield out()
+
+    ordered = members.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
     heads = components(ordered.mapInArrow(link, "id bigint, head bigint").distinct())
     return known.join(heads, "id").select("opening", "head")
 

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from palimpsest.llm import encoding, langid, languages, leakage, lookalike, markup, pairs, queries, readability, splitting, truncation
+from palimpsest.session import cut
 
 DATA = "/root/testdata/sf0.001"
 
@@ -285,6 +286,64 @@ def test_clusters_against_brute_force(spark):
     assert got <= want and len(want) > 100 and len(got) >= 0.9 * len(want)
 
 
+def linked_by_brute_force(sets, may_meet):
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if label[i] != label[j] and may_meet(i, j) and len(a & sets[j]) >= pairs.SIMILARITY * len(a | sets[j]):
+                label = [label[i] if x == label[j] else x for x in label]
+    return {frozenset(i for i, x in enumerate(label) if x == y) for y in set(label)}
+
+
+def wandering(rnd, steps):
+    """Openings that each differ from one before in a word near an end: chains, and members like several that are unlike each other."""
+    vocabulary = [f"w{i}" for i in range(40)]
+    made = [rnd.choices(vocabulary, k=34)]
+    for _ in range(steps):
+        copy = list(rnd.choice(made[-30:] + made))
+        copy[rnd.choice((0, 1, 2, -3, -2, -1))] = rnd.choice(vocabulary)
+        made.append(copy)
+    return sorted({" ".join(m) for m in made})
+
+
+@pytest.mark.parametrize("block", [50_000, 40])
+def test_no_link_of_a_bucket_is_left_out(spark, monkeypatch, block):
+    monkeypatch.setattr(pairs, "BLOCK", block)
+    openings = wandering(random.Random(8), 700)
+    sets = [set(pairs.shingles(o.split(" "))) for o in openings]
+    keys = [set(pairs.bands(sorted(s))) for s in sets]
+    want = {c for c in linked_by_brute_force(sets, lambda i, j: keys[i] & keys[j]) if len(c) > 1}
+    found: dict = {}
+    for r in pairs.opening_clusters(spark.createDataFrame([(o,) for o in openings], "opening string")).collect():
+        found.setdefault(r.head, set()).add(openings.index(r.opening))
+    assert {frozenset(c) for c in found.values()} == want and max(map(len, want)) > pairs.FEW
+
+
+@pytest.mark.parametrize(("few", "plain"), [(1000, 1000), (0, 1000), (0, 0)])
+def test_links_of_a_bucket_in_each_way(monkeypatch, few, plain):
+    monkeypatch.setattr(pairs, "FEW", few)
+    monkeypatch.setattr(pairs, "PLAIN", plain)
+    openings = [*wandering(random.Random(5), 250), *wandering(random.Random(6), 250), "a word", "a b c d e f"]
+    held = [np.array(pairs.shingles(o.split(" ")), np.uint32).tobytes() for o in openings]
+    heads = pairs.linked(held, pairs.SIMILARITY)
+    sets = [set(pairs.shingles(o.split(" "))) for o in openings]
+    assert {frozenset(i for i, h in enumerate(heads) if h == x) for x in heads} == linked_by_brute_force(sets, lambda i, j: True)
+    assert pairs.linked(held[:1], pairs.SIMILARITY) == [0] and pairs.linked([], pairs.SIMILARITY) == []
+
+
+def test_components_of_chains_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(pairs, "cut", lambda df: rounds.append(1) or cut(df))
+    ids = random.Random(2).sample(range(1000), 1000)
+    links = [(i, i + 1) for i in range(300)] + list(zip(ids[:400:2], ids[1:400:2])) + [(7, 7)]
+    label = {x: x for x in range(1000)}
+    for a, b in links:
+        label = {k: min(label[a], label[b]) if v in (label[a], label[b]) else v for k, v in label.items()}
+    got = {r.id: r.head for r in pairs.components(spark.createDataFrame(links, "id long, head long")).collect()}
+    assert got == {x: label[x] for x in {x for a, b in links if a != b for x in (a, b)}} and len(rounds) < 15
+    assert pairs.components(spark.createDataFrame([], "id long, head long")).count() == 0
+
+
 def test_two_unrelated_prompts_make_a_refusal(spark):
     data = [("i must decline to rephrase this", i, 0.0, 0.0, 9, 4) for i in range(2)] + [("only said once", 7, 0.0, 0.0, 9, 4)]
     seen = spark.createDataFrame(data, "opening string, prompt_hash long, shared double, elsewhere double, said int, novel int")
